@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.catalog.tables import create_database
+from millrace.session import scratch
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def new_database(spark: SparkSession) -> str:
+    """Database with a name of its own, its tables in the shared scratch folder."""
+    return create_database(spark, f"millrace_{uuid.uuid4().hex}", scratch(spark, "database"))
+
+
 def money(column: str, digits: int = 2) -> Column:
     return F.col(column).cast(f"decimal(18,{digits})")
 

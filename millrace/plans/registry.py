@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("relational",)
+_MODULES = ("relational", "scans", "writes", "definitions", "warehouse", "histories", "streams")
 
 
 def _entries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]:

@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame
 from millrace.files import Files
 
 
+def gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Bring the rows of a partition folder together before a partitioned write.
+
+    Without it every task writes a file into every folder. Rebalancing lets
+    adaptive execution split a crowded folder over several tasks.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_folder(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace a Parquet folder by a frame, even one computed from that folder.
 
@@ -19,7 +28,7 @@ def replace_folder(df: DataFrame, path: str, partition_by: list[str] | None = No
     files = Files(df.sparkSession, parent)
     tag = uuid.uuid4().hex
     fresh, old = f"_{name}.new-{tag}", f"_{name}.old-{tag}"
-    df.write.partitionBy(*(partition_by or [])).parquet(f"{parent}/{fresh}")
+    gathered(df, partition_by).write.partitionBy(*(partition_by or [])).parquet(f"{parent}/{fresh}")
     if files.exists(name):
         files.move(name, old)
     files.move(fresh, name)
@@ -28,5 +37,5 @@ def replace_folder(df: DataFrame, path: str, partition_by: list[str] | None = No
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Write partition folders, replacing only those the frame has rows for."""
-    writer = df.write.partitionBy(*partition_by).mode("overwrite")
+    writer = gathered(df, partition_by).write.partitionBy(*partition_by).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)

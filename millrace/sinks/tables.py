@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.files import Files
 from millrace.operators.keys import append_members
+from millrace.sinks.folders import gathered
 
 _BAD = "_corrupt_record"
 
@@ -18,7 +19,8 @@ class TooManyErrors(ValueError):
 
 def save_external(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Table whose files stay when it is dropped."""
-    df.write.saveAsTable(name, format="parquet", mode="overwrite", partitionBy=partition_by, path=path)
+    writer = gathered(df, partition_by).write
+    writer.saveAsTable(name, format="parquet", mode="overwrite", partitionBy=partition_by, path=path)
     return df.sparkSession.table(name)
 
 
@@ -58,9 +60,8 @@ def _read_checked(spark: SparkSession, path: str, schema: StructType, max_errors
         return spark.read.schema(schema).options(mode="FAILFAST", **options).csv(path)
     marked = StructType([*schema.fields, StructField(_BAD, StringType())])
     rows = spark.read.schema(marked).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, **options).csv(path)
-    # All columns take part, so that none is pruned from parsing.
-    touched = F.count(F.struct(*schema.names))
-    bad, _ = rows.agg(F.count(_BAD), touched).first()
+    # Hashing all columns keeps them all in the scan: a pruned column is not parsed.
+    bad, _ = rows.agg(F.count(_BAD), F.bit_xor(F.xxhash64(*schema.names))).first()
     if bad > max_errors:
         raise TooManyErrors(f"{bad} bad rows in {path}, {max_errors} allowed")
     return rows.where(F.col(_BAD).isNull()).drop(_BAD)
