@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import calendar_columns, hour_key
 from millrace.operators.keys import append_members, assign_keys, new_members
-from millrace.operators.quality import require_unique
+from millrace.operators.quality import require_business_key
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -73,7 +73,7 @@ def upsert(dimension: DataFrame, staged: DataFrame, business_key: str, key: str)
     A known member keeps its surrogate key, a new one gets the next free key.
     Meant for one row per member; write the result beside the old table and swap.
     """
-    require_unique(staged, [business_key], "staged rows")
+    require_business_key(staged, business_key, "staged rows")
     attributes = [c for c in dimension.columns if c != key]
     staged = staged.select(*attributes)
     updated = staged.join(dimension.select(key, business_key), business_key)
@@ -106,28 +106,28 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
     Validity is half open: a row holds for ``ValidFrom <= day < ValidTo``. New
     members are added as well; members whose attributes agree stay as they are.
     """
-    require_unique(staged, [business_key], "staged rows")
+    require_business_key(staged, business_key, "staged rows")
     columns = dimension.columns
     own = {key, business_key, "ValidFrom", "ValidTo", "IsCurrent"}
     attributes = [c for c in columns if c not in own]
     current = dimension.where("IsCurrent").alias("cur")
-    changed = (
+    same_member = F.col(f"stg.{business_key}") == F.col(f"cur.{business_key}")
+    arriving = (
         staged.alias("stg")
-        .join(current, F.col(f"stg.{business_key}") == F.col(f"cur.{business_key}"))
-        .where(_differs(attributes))
-        .select(F.col(f"stg.{business_key}").alias(business_key), *[f"stg.{c}" for c in attributes])
-    )
-    arriving = changed.unionByName(
-        new_members(staged, dimension, [business_key]).select(business_key, *attributes)
-    ).select(
-        "*",
-        F.lit(changed_on).alias("ValidFrom"),
-        F.lit(OPEN_END).alias("ValidTo"),
-        F.lit(True).alias("IsCurrent"),
-    )
-    flagged = dimension.join(
-        changed.select(business_key, F.lit(True).alias("_changed")), business_key, "left"
+        .join(current, same_member, "left")
+        .where(F.col(f"cur.{key}").isNull() | _differs(attributes))
+        .select(
+            f"stg.{business_key}",
+            *[f"stg.{c}" for c in attributes],
+            F.lit(changed_on).alias("ValidFrom"),
+            F.lit(OPEN_END).alias("ValidTo"),
+            F.lit(True).alias("IsCurrent"),
+        )
     )
+    # Numbered rows are stored, so closing the old rows reads them back instead
+    # of comparing the members again.
+    added = append_members(dimension, arriving, [business_key], key)
+    flagged = dimension.join(added.select(business_key, F.lit(True).alias("_changed")), business_key, "left")
     closing = F.col("IsCurrent") & F.coalesce("_changed", F.lit(False))
     kept = flagged.withColumns(
         {
@@ -135,7 +135,6 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
             "IsCurrent": F.col("IsCurrent") & ~closing,
         }
     )
-    added = append_members(dimension, arriving, [business_key], key)
     return kept.select(*columns).unionByName(added)
 
 

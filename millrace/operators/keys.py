@@ -17,6 +17,20 @@ _TIE, _ID, _RANGE, _BEFORE = "_tie", "_row_id", "_range", "_rows_before"
 _ROW_BITS = 33
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """The frame itself if its rows come straight from files, else a written copy.
+
+    After a shuffle a repeated task may see its rows in another order, so a row's
+    place could change. The copy also spares computing the input twice: once to
+    sample range bounds and once to shuffle.
+    """
+    if "Exchange" not in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    path = scratch(df.sparkSession, "input")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ordered_positions(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
     """Append the 1-based position of each row in the total order.
 
@@ -29,7 +43,8 @@ def ordered_positions(df: DataFrame, order_by: list[Column], name: str) -> DataF
     order = [*order_by, F.col(_TIE).asc()]
     path = scratch(spark, "positions")
     (
-        df.withColumn(_TIE, F.monotonically_increasing_id())
+        _stored(df)
+        .withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop(_TIE)

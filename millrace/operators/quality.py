@@ -23,6 +23,13 @@ def require_unique(df: DataFrame, key: list[str], what: str) -> None:
         raise QualityError(f"{what}: repeated keys, e.g. {[tuple(r)[:-1] for r in found]}")
 
 
+def require_business_key(df: DataFrame, key: str, what: str) -> None:
+    """Raise unless a column identifies its rows: never NULL, never repeated."""
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise QualityError(f"{what}: {key} is NULL")
+    require_unique(df, [key], what)
+
+
 def orphan_keys(facts: DataFrame, column: str, dimension: DataFrame, key: str) -> DataFrame:
     """Foreign-key values without a dimension row, with their number of facts.
 

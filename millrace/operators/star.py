@@ -21,12 +21,15 @@ def sum_by(facts: DataFrame, keys: Sequence[str], measure: str, total: str | Non
 
 
 def roll_up(
-    facts: DataFrame, lookup: Lookup, attributes: list[str], measure: str, keep: Sequence[str] = ()
+    sums: DataFrame, lookup: Lookup, attributes: list[str], measure: str, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Replace one foreign key by attributes of its dimension and sum again."""
-    per_key = sum_by(facts, [*keep, lookup.column], measure)
+    """Replace the foreign key of summed facts by attributes of its dimension, and sum again.
+
+    ``sums`` has one row per ``keep`` and foreign key, from ``sum_by`` or from the
+    roll-up before.
+    """
     dimension = lookup.dimension.select(F.col(lookup.business_key).alias(lookup.column), *attributes)
-    return sum_by(per_key.join(dimension, lookup.column), [*keep, *attributes], measure)
+    return sum_by(sums.join(dimension, lookup.column), [*keep, *attributes], measure)
 
 
 def distinct_per(facts: DataFrame, group: str, column: str, name: str) -> DataFrame:

@@ -108,18 +108,21 @@ LINE_AMOUNT_SQL = (
 )
 
 
-def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with business keys, the source of the sales fact."""
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("OrderDate")
-    )
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        "OrderDate",
+def order_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """OrderNumber, CustomerNo, OrderDate: what the sales fact takes from an order."""
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("OrderNumber"),
         F.col("o_custkey").alias("CustomerNo"),
+        F.col("o_orderdate").cast("date").alias("OrderDate"),
+    )
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with business keys and measures, the source of the sales fact."""
+    return table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("OrderNumber"),
         F.col("l_partkey").alias("ProductID"),
         F.col("l_suppkey").alias("StoreNo"),
-        F.col("l_orderkey").cast("string").alias("OrderNumber"),
         F.col("l_linenumber").alias("OrderLineItem"),
         F.col("l_quantity").cast("smallint").alias("OrderQuantity"),
         money("l_extendedprice").alias("UnitPrice"),

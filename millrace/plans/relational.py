@@ -89,9 +89,8 @@ def _calendar(df):
 
 def star_sales_by_quarter(spark, folder):
     dates = Lookup("OrderDateKey", _dates(spark, folder), "DateKey", "DateKey")
-    totals = star.roll_up(
-        _order_amounts(spark, folder), dates, ["CalendarYear", "CalendarQuarter"], "SalesAmount"
-    )
+    per_day = star.sum_by(_order_amounts(spark, folder), ["OrderDateKey"], "SalesAmount")
+    totals = star.roll_up(per_day, dates, ["CalendarYear", "CalendarQuarter"], "SalesAmount")
     return _calendar(totals).orderBy("CalendarYear", "CalendarQuarter")
 
 
@@ -99,7 +98,7 @@ def star_sales_by_quarter_city(spark, folder):
     who = Lookup("o_custkey", table(spark, folder, "customer"), "c_custkey", "c_custkey")
     dates = Lookup("OrderDateKey", _dates(spark, folder), "DateKey", "DateKey")
     where = Lookup("c_nationkey", cities(spark, folder), "CityKey", "CityKey")
-    sales = _order_amounts(spark, folder, "o_custkey")
+    sales = star.sum_by(_order_amounts(spark, folder, "o_custkey"), ["OrderDateKey", "o_custkey"], "SalesAmount")
     sales = star.roll_up(sales, who, ["c_nationkey"], "SalesAmount", keep=["OrderDateKey"])
     quarter = ["CalendarYear", "CalendarQuarter"]
     sales = star.roll_up(sales, dates, quarter, "SalesAmount", keep=["c_nationkey"])
@@ -117,7 +116,7 @@ def snowflake_items_by_category(spark, folder):
     )
     product = Lookup("ProductKey", dim_product, "ProductKey", "ProductKey")
     category = Lookup("CategoryKey", categories, "CategoryKey", "CategoryKey")
-    items = star.roll_up(sales, product, ["CategoryKey"], "ItemsSold")
+    items = star.roll_up(star.sum_by(sales, ["ProductKey"], "ItemsSold"), product, ["CategoryKey"], "ItemsSold")
     return star.roll_up(items, category, ["ProductCategory"], "ItemsSold").orderBy("ProductCategory")
 
 

@@ -10,7 +10,7 @@ from millrace.functions.dates import date_key
 from millrace.operators import dimensions, quality
 from millrace.operators.facts import Lookup, matched, point_in_time, replace_keys
 from millrace.operators.keys import append_members, new_members
-from millrace.plans.inputs import CUSTOMERS_SQL, customers, money, new_database, sales_lines, table
+from millrace.plans.inputs import CUSTOMERS_SQL, customers, money, new_database, order_heads, order_lines, table
 from millrace.session import scratch
 from millrace.sinks import tables
 
@@ -128,15 +128,17 @@ def fact_sales_build(spark, folder):
     what = dimensions.full_load(parts, {"p_partkey": "ProdAltKey"}, "ProdAltKey", "ProductKey")
     stores = table(spark, folder, "supplier")
     where = dimensions.full_load(stores, {"s_suppkey": "StoreAltKey"}, "StoreAltKey", "StoreKey")
-    lines = sales_lines(spark, folder).withColumn("OrderDateKey", date_key(F.col("OrderDate"))).drop("OrderDate")
+    # The customer belongs to the order: looked up there, before orders meet their
+    # several lines.
+    orders = replace_keys(order_heads(spark, folder), [Lookup("CustomerNo", who, "CustAltKey", "CustomerKey")])
+    orders = orders.withColumn("OrderDateKey", date_key(F.col("OrderDate"))).drop("OrderDate")
     keyed = replace_keys(
-        lines,
+        order_lines(spark, folder).join(orders, "OrderNumber"),
         [
-            Lookup("CustomerNo", who, "CustAltKey", "CustomerKey"),
             Lookup("ProductID", what, "ProdAltKey", "ProductKey"),
             Lookup("StoreNo", where, "StoreAltKey", "StoreKey"),
         ],
-    )
+    ).withColumn("OrderNumber", F.col("OrderNumber").cast("string"))
     facts = matched(keyed, ["CustomerKey", "ProductKey", "StoreKey"])
     money_columns = ("UnitPrice", "Discount", "Tax", "SalesAmount")
     return facts.withColumns({c: F.col(c).cast("double") for c in money_columns})

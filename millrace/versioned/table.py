@@ -68,8 +68,8 @@ def _commit_name(version: int) -> str:
     return f"commits/{version:08d}.json"
 
 
-def _folder_of_row() -> Column:
-    return F.regexp_extract("_metadata.file_path", r"/data/([^/]+)/[^/]*$", 1)
+def _folder_of(file_path: str) -> Column:
+    return F.regexp_extract(file_path, r"/data/([^/]+)/[^/]*$", 1)
 
 
 def _milliseconds(moment: str | dt.date | dt.datetime) -> int:
@@ -276,7 +276,7 @@ class VersionedTable:
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         rows = reader.parquet(f"{self.path}/data/*")
-        folder = _folder_of_row()
+        folder = _folder_of("_metadata.file_path")
         wanted = ~folder.isin(replaced) if replaced else F.lit(True)
         if not ignore_changes:
             appended = folder.rlike(f"^({'|'.join(_APPENDING)})-") | folder.isin(start.folders)
@@ -324,8 +324,8 @@ class VersionedTable:
         if not commit.folders:
             return []
         rows = self._rows(commit.struct, commit.folders)
-        picked = pick(rows.withColumn("_folder", _folder_of_row()))
-        return sorted(row[0] for row in picked.select("_folder").distinct().collect())
+        files = pick(rows.withColumn("_file", F.col("_metadata.file_path"))).select("_file").distinct()
+        return sorted(row[0] for row in files.select(_folder_of("_file")).distinct().collect())
 
     @staticmethod
     def _others(commit: Commit, touched: list[str]) -> list[str]:

@@ -1,0 +1,188 @@
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.quality import QualityError
+from millrace.versioned.table import CommitConflict, NoSuchVersion, VersionedTable
+
+ITEMS = [(1, "Accessories", 10.0), (2, "Bikes", 20.0), (3, None, 30.0)]
+SCHEMA = "id int, category string, price float"
+
+
+@pytest.fixture
+def items(spark):
+    return spark.createDataFrame(ITEMS, SCHEMA)
+
+
+@pytest.fixture
+def table(items, path):
+    return VersionedTable.create(items, path)
+
+
+def more(spark, *records):
+    return spark.createDataFrame(list(records), SCHEMA)
+
+
+def test_versions_and_history(spark, table, rows):
+    table.append(more(spark, (4, "Bikes", 40.0)))
+    table.overwrite(more(spark, (9, "New", 1.0)))
+    assert [table.read(version=v).count() for v in (0, 1, 2)] == [3, 4, 1]
+    assert rows(table.history().select("version", "operation")) == [(0, "create"), (1, "append"), (2, "overwrite")]
+    with pytest.raises(NoSuchVersion):
+        table.read(version=3)
+    with pytest.raises(ValueError):
+        table.read(version=1, timestamp="2020-01-01")
+
+
+def test_reading_by_time(spark, table):
+    for i in range(4, 9):
+        table.append(more(spark, (i, "x", 1.0)))
+    utc = dt.timezone.utc
+    for version in range(6):
+        exact = dt.datetime.fromtimestamp(0, utc) + dt.timedelta(milliseconds=table.commit_at(version).timestamp_ms)
+        assert table.commit_at(timestamp=exact).version == version
+        assert table.commit_at(timestamp=exact.replace(tzinfo=None).isoformat()).version == version
+        if version:
+            assert table.commit_at(timestamp=exact - dt.timedelta(milliseconds=1)).version == version - 1
+    assert table.commit_at(timestamp="2999-01-01").version == 5
+    with pytest.raises(NoSuchVersion):
+        table.read(timestamp="2022-01-01")
+
+
+def test_update_leaves_unknown_conditions_alone(table, rows):
+    table.update("category = 'Accessories'", {"price": "price * 0.9"})
+    assert rows(table.read()) == [(1, "Accessories", 9.0), (2, "Bikes", 20.0), (3, None, 30.0)]
+    assert dict(table.read().dtypes)["price"] == "float"
+    with pytest.raises(ValueError):
+        table.update("id = 1", {"cost": "1"})
+
+
+def test_update_expressions_see_the_old_row(table, rows):
+    table.update(F.col("id") == 2, {"price": "id", "id": "cast(price AS int)"})
+    assert (20, "Bikes", 2.0) in rows(table.read())
+
+
+def test_delete_keeps_null_conditions(table, rows):
+    table.delete("category <> 'Bikes'")
+    assert rows(table.read()) == [(2, "Bikes", 20.0), (3, None, 30.0)]
+    table.delete("true")
+    assert table.read().count() == 0
+    table.append(table.read(version=0))
+    assert table.read().count() == 3
+
+
+def test_only_touched_folders_are_written_again(spark, table):
+    first = table.latest().folders
+    table.append(more(spark, (4, "Bikes", 40.0)))
+    second = [f for f in table.latest().folders if f not in first]
+    table.update("id = 4", {"price": "0"})
+    now = table.latest().folders
+    assert first[0] in now and second[0] not in now
+    table.update("id = 12345", {"price": "0"})
+    assert set(now) <= set(table.latest().folders)
+
+
+def test_merge(spark, table, rows):
+    source = more(spark, (1, None, None), (2, "Bikes", 0.0), (7, "New", 7.0), (None, "NoKey", 5.0))
+    table.merge(source, ["id"], delete_when="s.price = 0")
+    assert rows(table.read()) == sorted(
+        [(1, None, None), (3, None, 30.0), (7, "New", 7.0), (None, "NoKey", 5.0)], key=repr
+    )
+
+
+def test_merge_with_expressions_and_without_insert(spark, table, rows):
+    source = more(spark, (1, "x", 5.0), (8, "x", 5.0))
+    table.merge(source, ["id"], update={"price": "t.price + s.price"}, insert=False)
+    assert rows(table.read()) == [(1, "Accessories", 15.0), (2, "Bikes", 20.0), (3, None, 30.0)]
+
+
+def test_merge_into_repeated_table_keys(spark, table, rows):
+    table.append(more(spark, (1, "copy", 1.0)))
+    table.merge(more(spark, (1, "both", 2.0)), ["id"])
+    assert rows(table.read()) == [(1, "both", 2.0), (1, "both", 2.0), (2, "Bikes", 20.0), (3, None, 30.0)]
+
+
+def test_merge_refuses_repeated_source_keys(spark, table):
+    with pytest.raises(QualityError):
+        table.merge(more(spark, (1, "a", 1.0), (1, "b", 2.0)), ["id"])
+    assert table.latest().version == 0
+
+
+def test_rows_that_do_not_fit_are_refused(spark, table):
+    with pytest.raises(ValueError):
+        table.append(spark.createDataFrame([(1, "a", 1.0)], "id int, category string, price double"))
+    with pytest.raises(ValueError):
+        table.append(spark.createDataFrame([(1,)], "id int"))
+    reordered = more(spark, (5, "a", 1.0)).select("price", "id", "category")
+    table.append(reordered)
+    assert table.read().where("id = 5").count() == 1
+
+
+def test_create_refuses_an_existing_table(items, table, path):
+    with pytest.raises(CommitConflict):
+        VersionedTable.create(items, path)
+
+
+def _race(table, monkeypatch, other):
+    """Let another writer commit while this one has its data staged."""
+    stage = VersionedTable._stage
+
+    def staged_late(self, operation, df):
+        folder = stage(self, operation, df)
+        monkeypatch.setattr(VersionedTable, "_stage", stage)
+        other()
+        return folder
+
+    monkeypatch.setattr(VersionedTable, "_stage", staged_late)
+
+
+def test_the_losing_writer_gets_an_error_and_leaves_nothing(spark, table, path, monkeypatch):
+    _race(table, monkeypatch, lambda: VersionedTable(spark, path).append(more(spark, (4, "x", 1.0))))
+    with pytest.raises(CommitConflict):
+        table.update("true", {"price": "0"})
+    assert table.latest().version == 1
+    assert table.read().where("price = 0").count() == 0
+    assert os.listdir(f"{path}/staged") == []
+
+
+def test_a_losing_append_goes_on_top(spark, table, path, monkeypatch):
+    _race(table, monkeypatch, lambda: VersionedTable(spark, path).append(more(spark, (4, "x", 1.0))))
+    table.append(more(spark, (5, "y", 1.0)))
+    assert table.latest().version == 2
+    assert table.read().count() == 5
+
+
+def test_a_failed_write_is_invisible(spark, table):
+    broken = more(spark, (4, "x", 1.0)).withColumn("price", F.raise_error(F.lit("stop")).cast("float"))
+    with pytest.raises(Exception):
+        table.append(broken)
+    assert table.latest().version == 0 and table.read().count() == 3
+
+
+def test_a_commit_cut_short_is_finished_by_the_next_reader(spark, table, path, monkeypatch):
+    settle = VersionedTable._settle
+    monkeypatch.setattr(VersionedTable, "_settle", lambda self, commit: (_ for _ in ()).throw(OSError("died")) if commit.version == 1 else settle(self, commit))
+    with pytest.raises(OSError):
+        table.append(more(spark, (4, "x", 1.0)))
+    assert len(os.listdir(f"{path}/data")) == 1
+    monkeypatch.setattr(VersionedTable, "_settle", settle)
+    assert VersionedTable(spark, path).read().count() == 4
+    assert len(os.listdir(f"{path}/data")) == 2
+
+
+def test_a_repeated_batch_is_committed_once(spark, table):
+    for number in (0, 0, 1, 0, 1):
+        table.append(more(spark, (10 + number, "x", 1.0)), batch=("writer", number))
+    table.append(more(spark, (20, "x", 1.0)), batch=("other", 0))
+    assert table.read().count() == 6
+    assert table.latest().batches == {"writer": 1, "other": 0}
+
+
+def test_commit_files_are_single_complete_lines(table, path):
+    with open(f"{path}/commits/00000000.json") as file:
+        commit = json.loads(file.read())
+    assert commit["version"] == 0 and commit["folders"] == commit["added"]
+    assert all(name.endswith(".json") for name in os.listdir(f"{path}/commits") if not name.startswith("."))
