@@ -44,7 +44,7 @@ def time_dimension(spark: SparkSession, first: dt.datetime, last: dt.datetime, g
     utc = dt.timezone.utc
     begin = int(first.replace(tzinfo=utc).timestamp()) // grain_seconds
     end = int(last.replace(tzinfo=utc).timestamp()) // grain_seconds
-    origin = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    origin = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     seconds = F.col("id") * grain_seconds
     moment = origin + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     day = F.col("t").cast("date")

@@ -103,6 +103,23 @@ def line_amount() -> Column:
     return (money("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - discount)).cast("decimal(18,4)")
 
 
+# Amounts summed over very many lines are counted in ten-thousandths, as whole
+# numbers: computing decimals from doubles line by line costs far more.
+UNITS = "0.0001"
+
+
+def line_units() -> Column:
+    """Sales amount of an order line in UNITS, from whole cents and whole percents."""
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    percent = F.rint(F.col("l_discount") * 100).cast("bigint")
+    return (cents * (100 - percent)).cast("decimal(18,0)")
+
+
+def from_units(total: str) -> Column:
+    """Summed units as an amount."""
+    return (F.col(total) * F.lit(UNITS).cast("decimal(4,4)")).cast("double")
+
+
 LINE_AMOUNT_SQL = (
     "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))"
 )

@@ -17,7 +17,8 @@ from millrace.plans.inputs import (
     SALES_ORDERS_SQL,
     cities,
     customers,
-    line_amount,
+    from_units,
+    line_units,
     products,
     sales_orders,
     table,
@@ -73,8 +74,8 @@ def _dates(spark, folder):
 
 def _order_amounts(spark, folder, *order_columns):
     """Sales amount per order, lines already added up, with columns of the order."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", line_amount().alias("SalesAmount"))
-    amounts = star.sum_by(lines, ["l_orderkey"], "SalesAmount")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", line_units().alias("SalesUnits"))
+    amounts = star.sum_by(lines, ["l_orderkey"], "SalesUnits")
     orders = table(spark, folder, "orders").select(
         "o_orderkey", date_key(F.col("o_orderdate")).alias("OrderDateKey"), *order_columns
     )
@@ -84,13 +85,13 @@ def _order_amounts(spark, folder, *order_columns):
 def _calendar(df):
     return df.withColumns(
         {c: F.col(c).cast("bigint") for c in ("CalendarYear", "CalendarQuarter") if c in df.columns}
-    ).withColumn("TotalSales", F.col("SalesAmount").cast("double")).drop("SalesAmount")
+    ).withColumn("TotalSales", from_units("SalesUnits")).drop("SalesUnits")
 
 
 def star_sales_by_quarter(spark, folder):
     dates = Lookup("OrderDateKey", _dates(spark, folder), "DateKey", "DateKey")
-    per_day = star.sum_by(_order_amounts(spark, folder), ["OrderDateKey"], "SalesAmount")
-    totals = star.roll_up(per_day, dates, ["CalendarYear", "CalendarQuarter"], "SalesAmount")
+    per_day = star.sum_by(_order_amounts(spark, folder), ["OrderDateKey"], "SalesUnits")
+    totals = star.roll_up(per_day, dates, ["CalendarYear", "CalendarQuarter"], "SalesUnits")
     return _calendar(totals).orderBy("CalendarYear", "CalendarQuarter")
 
 
@@ -98,11 +99,11 @@ def star_sales_by_quarter_city(spark, folder):
     who = Lookup("o_custkey", table(spark, folder, "customer"), "c_custkey", "c_custkey")
     dates = Lookup("OrderDateKey", _dates(spark, folder), "DateKey", "DateKey")
     where = Lookup("c_nationkey", cities(spark, folder), "CityKey", "CityKey")
-    sales = star.sum_by(_order_amounts(spark, folder, "o_custkey"), ["OrderDateKey", "o_custkey"], "SalesAmount")
-    sales = star.roll_up(sales, who, ["c_nationkey"], "SalesAmount", keep=["OrderDateKey"])
+    sales = star.sum_by(_order_amounts(spark, folder, "o_custkey"), ["OrderDateKey", "o_custkey"], "SalesUnits")
+    sales = star.roll_up(sales, who, ["c_nationkey"], "SalesUnits", keep=["OrderDateKey"])
     quarter = ["CalendarYear", "CalendarQuarter"]
-    sales = star.roll_up(sales, dates, quarter, "SalesAmount", keep=["c_nationkey"])
-    sales = star.roll_up(sales, where, ["City"], "SalesAmount", keep=quarter)
+    sales = star.roll_up(sales, dates, quarter, "SalesUnits", keep=["c_nationkey"])
+    sales = star.roll_up(sales, where, ["City"], "SalesUnits", keep=quarter)
     return _calendar(sales).orderBy(*quarter, "City")
 
 
@@ -177,7 +178,7 @@ def rank_products(spark, folder):
 
 def rank_stores_by_year(spark, folder):
     """Stores of each year by revenue; equal revenues share a rank."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", line_amount().alias("Revenue"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", line_units().alias("Revenue"))
     per_order = star.sum_by(lines, ["l_orderkey", "l_suppkey"], "Revenue")
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.year("o_orderdate").cast("bigint").alias("CalendarYear")
@@ -190,7 +191,7 @@ def rank_stores_by_year(spark, folder):
     )
     # A year holds each store once at most: the store count bounds its size.
     ranked = rank_within(named, ["CalendarYear"], "Revenue", ["StoreNo"], group_rows=stores.count())
-    return ranked.select("CalendarYear", "StoreNo", "StoreName", F.col("Revenue").cast("double").alias("Revenue"), "Rank")
+    return ranked.select("CalendarYear", "StoreNo", "StoreName", from_units("Revenue").alias("Revenue"), "Rank")
 
 
 def sort_customers(spark, folder):
