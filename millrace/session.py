@@ -53,6 +53,21 @@ def scratch_root(spark: SparkSession) -> str:
     return _own_scratch
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/millrace/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """Path of a new, not yet existing folder below the shared scratch folder."""
-    return f"{scratch_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to scratch.
+
+    For the end of a job: frames computed earlier may still read from there.
+    """
+    # Imported here because the file helper needs nothing from sessions.
+    from millrace.files import Files
+
+    Files(spark, _own_folder(spark)).delete()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 
 import duckdb
@@ -16,7 +17,10 @@ TABLES = (
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
-        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        path = f"{folder}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        if os.path.exists(path):
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return connection
 
 

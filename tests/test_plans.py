@@ -41,7 +41,7 @@ def test_top_n_does_not_sort_everything(spark, folder, plan):
     assert "TakeOrderedAndProject" in plan(_query(spark, folder, "top_n"))
 
 
-@pytest.mark.parametrize("name", ["star_sales_by_quarter", "star_sales_by_quarter_city", "rank_stores_by_year"])
+@pytest.mark.parametrize("name", ["star_sales_by_quarter", "star_sales_by_quarter_city"])
 def test_lines_are_summed_before_their_first_shuffle(spark, folder, plan, no_broadcast, name):
     lines = plan(_query(spark, folder, name)).split("\n")
     scan = next(i for i, line in enumerate(lines) if "FileScan parquet [l_orderkey" in line)
