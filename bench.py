@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from millrace.plans.registry import queries  # noqa: E402
 from millrace.session import build_session  # noqa: E402
 
-# The reference's own analytical queries and load jobs; their sum is the metric.
+# Analytical queries and load jobs whose sum is the metric.
 HEADLINE = (
     "star_sales_by_quarter star_sales_by_quarter_city snowflake_items_by_category distinct_orders_by_year "
     "rank_products rank_stores_by_year scan_csv_infer sink_partition_year_month surrogate_key_full "

@@ -42,7 +42,7 @@ def ordered_positions(df: DataFrame, order_by: list[Column], name: str) -> DataF
     spark = df.sparkSession
     order = [*order_by, F.col(_TIE).asc()]
     path = scratch(spark, "positions")
-    (
+    ranged = (
         _stored(df)
         .withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(*order)
@@ -50,9 +50,9 @@ def ordered_positions(df: DataFrame, order_by: list[Column], name: str) -> DataF
         .drop(_TIE)
         .withColumn(_ID, F.monotonically_increasing_id())
         .withColumn(_RANGE, F.shiftright(_ID, _ROW_BITS))
-        .write.parquet(path)
     )
-    rows = spark.read.parquet(path)
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
     # One row per range, so at most as many rows as there were shuffle tasks:
     # the running total and the broadcast below stay small at any table size.
     ranges = rows.groupBy(_RANGE).agg(F.count("*").alias("n"))

@@ -62,6 +62,18 @@ def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def require_constraints(df: DataFrame, not_null: list[str], max_lengths: dict[str, int], what: str) -> None:
+    """Raise if a column that must have a value has none, or a text is too long; one pass."""
+    broken = {f"{c} is NULL": F.col(c).isNull() for c in not_null}
+    broken |= {f"{c} is longer than {n}": F.length(c) > n for c, n in max_lengths.items()}
+    if not broken:
+        return
+    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in broken.items()]).first()
+    found = {name: counts[name] for name in broken if counts[name]}
+    if found:
+        raise QualityError(f"{what}: {found}")
+
+
 def fits_decimal(column: str, precision: int, scale: int):
     """False where a value cannot be held by DECIMAL(precision, scale)."""
     value = F.col(column)

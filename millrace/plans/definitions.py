@@ -42,8 +42,9 @@ def create_table_schema(spark, folder):
     create_table(
         spark, name, "OrderId BIGINT NOT NULL, OrderDate DATE NOT NULL, CustomerName STRING, SalesTotal FLOAT NOT NULL"
     )
-    rows = sales_orders(spark, folder)
-    rows.select("OrderID", "OrderDate", "CustomerName", F.col("OrderTotal").cast("float")).write.insertInto(name)
+    rows = sales_orders(spark, folder).withColumnRenamed("OrderID", "OrderId")
+    rows = rows.withColumn("SalesTotal", F.col("OrderTotal").cast("float"))
+    tables.insert_checked(rows, name, not_null=["OrderId", "OrderDate", "SalesTotal"], max_lengths={"CustomerName": 80})
     return spark.table(name).withColumn("SalesTotal", F.col("SalesTotal").cast("double"))
 
 

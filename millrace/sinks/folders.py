@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.files import Files
 
@@ -18,23 +18,39 @@ def gathered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def replace_folder(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a Parquet folder by a frame, even one computed from that folder.
-
-    ``mode("overwrite")`` empties the target before the plan reads it. Here the
-    new files are written beside the target and swapped in by renaming.
-    """
+def _split(path: str) -> tuple[str, str]:
     parent, _, name = path.rstrip("/").rpartition("/")
-    files = Files(df.sparkSession, parent)
-    tag = uuid.uuid4().hex
-    fresh, old = f"_{name}.new-{tag}", f"_{name}.old-{tag}"
+    return parent, name
+
+
+def write_beside(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Write Parquet to a new hidden folder next to a path; returns its name."""
+    parent, name = _split(path)
+    fresh = f"_{name}.new-{uuid.uuid4().hex}"
     gathered(df, partition_by).write.partitionBy(*(partition_by or [])).parquet(f"{parent}/{fresh}")
+    return fresh
+
+
+def swap_in(spark: SparkSession, path: str, fresh: str) -> None:
+    """Put a folder written beside a path in its place; the old one goes last."""
+    parent, name = _split(path)
+    files = Files(spark, parent)
+    old = f"_{name}.old-{uuid.uuid4().hex}"
     if files.exists(name):
         files.move(name, old)
     files.move(fresh, name)
     files.delete(old)
 
 
+def replace_folder(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Replace a Parquet folder by a frame, even one computed from that folder.
+
+    ``mode("overwrite")`` empties the target before the plan reads it. Here the
+    new files are written beside the target and swapped in by renaming.
+    """
+    swap_in(df.sparkSession, path, write_beside(df, path, partition_by))
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Write partition folders, replacing only those the frame has rows for."""
     writer = gathered(df, partition_by).write.partitionBy(*partition_by).mode("overwrite")

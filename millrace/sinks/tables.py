@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from millrace.files import Files
 from millrace.operators.keys import append_members
-from millrace.sinks.folders import gathered
+from millrace.operators.quality import require_constraints
+from millrace.sinks.folders import gathered, swap_in, write_beside
 
 _BAD = "_corrupt_record"
 
@@ -30,6 +30,18 @@ def save_managed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def insert_checked(
+    df: DataFrame, table: str, not_null: list[str] | None = None, max_lengths: dict[str, int] | None = None
+) -> None:
+    """Append rows after checking the constraints a Parquet table does not enforce.
+
+    NOT NULL columns of the table's definition are not kept by the catalog, so
+    they are named here. Nothing is written when a row breaks a rule.
+    """
+    require_constraints(df, not_null or [], max_lengths or {}, table)
+    df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+
+
 def swap(spark: SparkSession, current: str, rebuilt: str, archive: str) -> None:
     """Put a rebuilt table in the place of the current one, which is kept as archive."""
     spark.sql(f"ALTER TABLE {current} RENAME TO {archive}")
@@ -42,15 +54,10 @@ def rebuild_external(spark: SparkSession, name: str, path: str, query: str, **pa
     The result is complete in a folder of its own before the old table and its
     folder go, so the query may even read the table it rebuilds.
     """
-    parent, _, folder = path.rstrip("/").rpartition("/")
-    files = Files(spark, parent)
-    staged = f"_{folder}.staged"
-    files.delete(staged)
     rows = spark.sql(query, args=parameters)
-    rows.write.parquet(f"{parent}/{staged}")
+    fresh = write_beside(rows, path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    files.delete(folder)
-    files.move(staged, folder)
+    swap_in(spark, path, fresh)
     return spark.catalog.createTable(name, path=path, source="parquet", schema=rows.schema)
 
 

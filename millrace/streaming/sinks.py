@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.files import Files
 from millrace.versioned.table import CommitConflict, VersionedTable
 
 
@@ -33,8 +36,9 @@ def to_versioned(
 ) -> StreamingQuery:
     """Commit each batch to a versioned table: appended, or as its new content in complete mode.
 
-    The commit records the batch number under the checkpoint's name, so a batch
-    repeated after a failure is not committed twice.
+    The commit records the batch number under the query's id, which the checkpoint
+    keeps: a batch repeated after a failure is not committed twice, while a new
+    checkpoint starts a new query.
     """
     spark = stream.sparkSession
     table = VersionedTable(spark, path)
@@ -44,14 +48,12 @@ def to_versioned(
         except CommitConflict:
             # Created by another writer in between, which is as good.
             table.latest()
-    writer_id = checkpoint.rstrip("/")
 
     def commit(rows: DataFrame, number: int) -> None:
-        target = VersionedTable(rows.sparkSession, path)
-        if output_mode == "complete":
-            target.overwrite(rows, batch=(writer_id, number))
-        else:
-            target.append(rows, batch=(writer_id, number))
+        session = rows.sparkSession
+        query_id = json.loads(Files(session, checkpoint).read_text("metadata"))["id"]
+        write = VersionedTable.overwrite if output_mode == "complete" else VersionedTable.append
+        write(VersionedTable(session, path), rows, batch=(query_id, number))
 
     writer = stream.writeStream.outputMode(output_mode).foreachBatch(commit)
     return _started(writer.option("checkpointLocation", checkpoint), finish)

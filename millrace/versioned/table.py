@@ -187,9 +187,7 @@ class VersionedTable:
     def update(self, condition: str | Column, assign: dict[str, str | Column]) -> Commit:
         """Set columns where a condition is true. Expressions see the old row."""
         base = self.latest()
-        unknown = assign.keys() - set(base.struct.names)
-        if unknown:
-            raise ValueError(f"no such columns: {sorted(unknown)}")
+        self._known(base, assign)
         hit = _truth(condition)
         touched = self._touched(base, lambda rows: rows.where(condition))
         rows = self._rows(base.struct, touched)
@@ -227,8 +225,9 @@ class VersionedTable:
         so hand in a stored one. A key repeated in the source is an error.
         """
         base = self.latest()
-        require_unique(source, key, "merge source")
         names = base.struct.names
+        self._known(base, update or {})
+        require_unique(source, key, "merge source")
         keys = source.select(*key).dropna()
         touched = self._touched(base, lambda rows: rows.join(keys, key, "left_semi"))
 
@@ -331,6 +330,12 @@ class VersionedTable:
     def _others(commit: Commit, touched: list[str]) -> list[str]:
         return [f for f in commit.folders if f not in set(touched)]
 
+    @staticmethod
+    def _known(commit: Commit, assigned: dict) -> None:
+        unknown = assigned.keys() - set(commit.struct.names)
+        if unknown:
+            raise ValueError(f"no such columns: {sorted(unknown)}")
+
     @staticmethod
     def _aligned(df: DataFrame, commit: Commit) -> DataFrame:
         """Columns in table order; other names or types are an error."""

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import tables as definitions
 from millrace.operators.layout import measured_bytes, replicated, round_robin, save_hashed
+from millrace.operators.quality import QualityError
+from millrace.plans.registry import queries
 from millrace.session import scratch
 from millrace.sinks import folders, tables
 
@@ -56,6 +58,23 @@ def test_bulk_load_makes_its_own_keys(spark, path, database, rows):
     assert rows(spark.table(name)) == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
 
 
+def test_constraints_are_checked_before_anything_lands(spark, database, rows):
+    name = f"{database}.Checked"
+    definitions.create_table(spark, name, "id INT NOT NULL, t STRING")
+    rules = {"not_null": ["id"], "max_lengths": {"t": 3}}
+    for bad in ((None, "a"), (1, "long")):
+        with pytest.raises(QualityError):
+            tables.insert_checked(spark.createDataFrame([(2, "ok"), bad], "id int, t string"), name, **rules)
+    assert spark.table(name).count() == 0
+    tables.insert_checked(spark.createDataFrame([("ok", 2), (None, 3)], "t string, id int"), name, **rules)
+    assert rows(spark.table(name)) == [(2, "ok"), (3, None)]
+
+
+def test_a_small_result_goes_to_pandas(spark, folder):
+    counts = queries()["group_count_column"](spark, folder).toPandas()
+    assert list(counts.columns) == ["Category", "ProductCount"] and counts.Category.is_monotonic_increasing
+
+
 def test_rebuild_reads_the_table_it_replaces(spark, path, database, rows):
     name, target = f"{database}.Special", f"{path}/special"
     tables.rebuild_external(spark, name, target, "SELECT id FROM range(:n)", n=5)

@@ -58,6 +58,16 @@ def test_a_batch_repeated_after_a_crash_is_written_once(spark, put, path):
     assert VersionedTable(spark, f"{path}/table").read().count() == 4
 
 
+def test_a_new_checkpoint_is_a_new_query(spark, put, path):
+    _three_files(put)
+    for _ in range(2):
+        to_versioned(json_folder(spark, f"{path}/in", DEVICE), f"{path}/table", f"{path}/checkpoint", finish=True)
+    assert VersionedTable(spark, f"{path}/table").read().count() == 4
+    os.rename(f"{path}/checkpoint", f"{path}/checkpoint-before")
+    to_versioned(json_folder(spark, f"{path}/in", DEVICE), f"{path}/table", f"{path}/checkpoint", finish=True)
+    assert VersionedTable(spark, f"{path}/table").read().count() == 8
+
+
 def test_counts_need_complete_mode(spark, put, path, rows):
     _three_files(put)
     counts = json_folder(spark, f"{path}/in", DEVICE, max_files=1).groupBy("status").count()
