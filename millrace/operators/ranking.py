@@ -103,6 +103,8 @@ def rank_within(
     window functions; beyond that the distributed form gives the same numbers.
     A known upper bound of the group size (``group_rows``) saves counting.
     """
+    if not group:
+        raise ValueError("no group: use keys.ordered_positions to number a whole table")
     rows = largest_group(df, group) if group_rows is None else group_rows
     small = rows <= max_group_rows
     return (_native if small else _distributed)(df, group, value, descending, tie_break, tiles)

@@ -46,3 +46,8 @@ def test_known_group_size_decides_without_counting(spark, plan):
     df = spark.createDataFrame([("a", 1, 1)], "g string, v int, id int")
     assert "Window" in plan(rank_within(df, ["g"], "v", ["id"], group_rows=1))
     assert "rank(" not in plan(rank_within(df, ["g"], "v", ["id"], group_rows=10**9))
+
+
+def test_a_group_is_needed(spark):
+    with pytest.raises(ValueError):
+        rank_within(spark.range(1), [], "id", [])

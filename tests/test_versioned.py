@@ -164,7 +164,13 @@ def test_a_failed_write_is_invisible(spark, table):
 
 def test_a_commit_cut_short_is_finished_by_the_next_reader(spark, table, path, monkeypatch):
     settle = VersionedTable._settle
-    monkeypatch.setattr(VersionedTable, "_settle", lambda self, commit: (_ for _ in ()).throw(OSError("died")) if commit.version == 1 else settle(self, commit))
+
+    def die(self, commit):
+        if commit.version == 1:
+            raise OSError("died")
+        settle(self, commit)
+
+    monkeypatch.setattr(VersionedTable, "_settle", die)
     with pytest.raises(OSError):
         table.append(more(spark, (4, "x", 1.0)))
     assert len(os.listdir(f"{path}/data")) == 1
