@@ -1,0 +1,263 @@
+"""Secret scans: known patterns, and formats learnt by grammar inference.
+
+Three patterns find credentials of known kinds. Their values are the labelled
+examples from which a probabilistic automaton is inferred for each kind: a
+prefix tree counts the examples, and states are merged as long as their
+frequencies are statistically compatible (Hoeffding's bound, with alpha the
+chance of refusing a right merge). A further automaton learns ordinary long
+tokens. Every long token outside the known spans is then scored by the log ratio
+of its likelihood under the best credential format and under the ordinary one.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.llm.common import text_of
+
+# The patterns of the known kinds, in the order kinds are listed.
+ASSIGN = re.compile(
+    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+    r"|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+# A shorter run fails the length rule anyway, and runs cannot overlap.
+HEX = re.compile(r"[0-9a-f]{24,}")
+KINDS = ("assign", "access", "hex")
+LEARNT = "format"
+
+# Long tokens that are scored by format.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Examples a format is learnt from, per kind, and the longest one: documented bounds.
+MAX_EXAMPLES, MAX_EXAMPLE_CHARS = 500, 128
+ALPHA = 0.05
+# Natural logarithm of how much likelier a credential format must be.
+MARGIN = 12.0
+
+# Character classes and how many characters each stands for.
+CLASS_OF = {c: "x" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"}
+CLASS_OF |= {c: "U" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0123456789"}
+CLASS_OF |= {c: "+" for c in "+/_.=-"}
+CLASS_SIZE = {"x": 6, "l": 20, "U": 26, "0": 10, "+": 6}
+_CLASSES = str.maketrans(CLASS_OF)
+
+
+def base_spans(text: str) -> list[tuple[int, int, int, str]]:
+    """(start, end, place of the kind, value) of the known kinds, in order."""
+    found = [(m.start(), m.end(), 0, m.group(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    found += [(m.start(), m.end(), 1, m.group()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    found += [(m.start(), m.end(), 2, m.group()) for m in HEX.finditer(text)]
+    return sorted(found)
+
+
+def candidates(text: str, known: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
+    """Long tokens that overlap no known span."""
+    found = [(m.start(), m.end(), m.group()) for m in CANDIDATE.finditer(text)]
+    return [c for c in found if not any(c[0] < b[1] and b[0] < c[1] for b in known)] if known else found
+
+
+class Automaton:
+    """Probabilistic automaton over character classes, inferred by state merging."""
+
+    def __init__(self, examples: list[str], alpha: float = ALPHA):
+        self._bound = math.sqrt(0.5 * math.log(2 / alpha))
+        self._next: list[dict[str, int]] = [{}]
+        self._count: list[dict[str, int]] = [defaultdict(int)]
+        self._ends, self._visits = [0], [0]
+        for word in examples:
+            self._add(word.translate(_CLASSES))
+        self._merge_all()
+        self._logs = self._weights()
+
+    def _add(self, word: str) -> None:
+        state = 0
+        self._visits[0] += 1
+        for c in word:
+            self._count[state][c] += 1
+            if c not in self._next[state]:
+                self._next[state][c] = len(self._next)
+                self._next.append({})
+                self._count.append(defaultdict(int))
+                self._ends.append(0)
+                self._visits.append(0)
+            state = self._next[state][c]
+            self._visits[state] += 1
+        self._ends[state] += 1
+
+    def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
+        return abs(f1 / n1 - f2 / n2) > self._bound * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
+
+    def _compatible(self, a: int, b: int) -> bool:
+        """Whether b's subtree looks like drawn from a's distribution."""
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            n, m = self._visits[a], self._visits[b]
+            if not n or not m:
+                continue
+            if self._differ(self._ends[a], n, self._ends[b], m):
+                return False
+            for c in self._next[a].keys() | self._next[b].keys():
+                if self._differ(self._count[a].get(c, 0), n, self._count[b].get(c, 0), m):
+                    return False
+                if c in self._next[a] and c in self._next[b]:
+                    todo.append((self._next[a][c], self._next[b][c]))
+        return True
+
+    def _fold(self, a: int, b: int) -> None:
+        """Add the tree below b to the automaton from a on."""
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            self._ends[a] += self._ends[b]
+            self._visits[a] += self._visits[b]
+            for c, below in self._next[b].items():
+                self._count[a][c] += self._count[b][c]
+                if c in self._next[a]:
+                    todo.append((self._next[a][c], below))
+                else:
+                    self._next[a][c] = below
+
+    def _merge_all(self) -> None:
+        settled = [0]
+        fringe = [(0, c) for c in sorted(self._next[0])]
+        while fringe:
+            source, c = fringe.pop(0)
+            state = self._next[source][c]
+            if state in settled:
+                continue
+            for known in settled:
+                if self._compatible(known, state):
+                    self._next[source][c] = known
+                    self._fold(known, state)
+                    break
+            else:
+                settled.append(state)
+            seen = set(settled)
+            fringe = [(s, c) for s in settled for c in sorted(self._next[s]) if self._next[s][c] not in seen]
+
+    def _weights(self) -> list[dict[str, tuple[float, int]]]:
+        """Log probability and target by state and class; '' is the end. One class more than seen keeps a share."""
+        out = []
+        for s in range(len(self._next)):
+            total = self._visits[s] + 0.05 * (len(CLASS_SIZE) + 1)
+            logs = {"": (math.log((self._ends[s] + 0.05) / total), s)}
+            for c, size in CLASS_SIZE.items():
+                chance = (self._count[s].get(c, 0) + 0.05) / total / size
+                logs[c] = (math.log(chance), self._next[s].get(c, 0))
+            out.append(logs)
+        return out
+
+    def score(self, classes: str) -> float:
+        """Log likelihood of a string given as character classes."""
+        logs, state, total = self._logs, 0, 0.0
+        for c in classes:
+            weight, state = logs[state][c]
+            total += weight
+        return total + logs[state][""][0]
+
+
+class Formats:
+    """Automata of the credential kinds and of ordinary tokens."""
+
+    def __init__(self, examples: dict[int, list[str]]):
+        self.kinds = [Automaton(examples[k]) for k in range(len(KINDS)) if examples.get(k)]
+        self.plain = Automaton(examples.get(len(KINDS), []))
+
+    def is_secret(self, token: str) -> bool:
+        classes = token.translate(_CLASSES)
+        best = max((a.score(classes) for a in self.kinds), default=-math.inf)
+        return best - self.plain.score(classes) > MARGIN
+
+
+def learn(docs: DataFrame, text_col: str = "text") -> Formats:
+    """Formats from the known kinds' values and from the other long tokens of all texts.
+
+    From each kind come at most MAX_EXAMPLES distinct values of at most
+    MAX_EXAMPLE_CHARS characters, those of the smallest hash: a bounded sample
+    for learning only. Kinds without a value get no format.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, values = [], []
+            for cell in batch.column(0):
+                text = cell.as_py()
+                known = base_spans(text)
+                kinds += [b[2] for b in known]
+                values += [b[3] for b in known]
+                other = [c[2] for c in candidates(text, known)]
+                kinds += [len(KINDS)] * len(other)
+                values += other
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string())], ["kind", "value"])
+
+    found = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "kind int, value string")
+    found = found.where(F.length("value") <= MAX_EXAMPLE_CHARS).withColumn("h", F.xxhash64("value"))
+    examples: dict[int, list[str]] = {}
+    distinct = found.distinct()
+    for k in range(len(KINDS) + 1):
+        rows = distinct.where(F.col("kind") == k).orderBy("h", "value").limit(MAX_EXAMPLES).collect()
+        examples[k] = [r["value"] for r in rows]
+    return Formats(examples)
+
+
+def spans_of(text: str, formats: Formats) -> list[tuple[int, int, int]]:
+    """(start, end, place of the kind) of all secrets of a text, in order; code points, end exclusive."""
+    known = base_spans(text)
+    found = [b[:3] for b in known]
+    found += [(c[0], c[1], len(KINDS)) for c in candidates(text, known) if formats.is_secret(c[2])]
+    return sorted(found, key=lambda x: (x[0], x[2], x[1]))
+
+
+def find(docs: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, spans): one row per row of ``docs`` with an array of (kind, start, end).
+
+    Ordered by start, then kind. Null texts count as empty: no spans. Spans of
+    different kinds may overlap.
+    """
+    names = [*KINDS, LEARNT]
+    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [
+                [{"kind": names[k], "start": i, "end": j} for i, j, k in spans_of(t.as_py(), formats)]
+                for t in batch.column(1)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.list_(span))], ["id", "spans"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    picked = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    out = picked.mapInArrow(run, f"id {kind}, spans array<struct<kind:string,start:int,end:int>>")
+    return out.withColumnRenamed("id", id_col)
+
+
+def redact(docs: DataFrame, formats: Formats, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret replaced by a mark; overlapping secrets get one. Null texts stay null."""
+
+    def clean(text: str | None) -> str | None:
+        if text is None:
+            return None
+        out, at = [], 0
+        for i, j, _ in spans_of(text, formats):
+            if i >= at:
+                out += [text[at:i], mark]
+            at = max(at, j)
+        return "".join([*out, text[at:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            texts = pa.array([clean(t.as_py()) for t in batch.column(at)], batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(
+                [texts if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names
+            )
+
+    return docs.mapInArrow(run, docs.schema)
