@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import lines, packing, secrets, simhash, toxicity
+from millrace.llm import bpe, lines, packing, secrets, simhash, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 
 
+# The rank file of the tokenizer; read once by the driver, 0.8 MB.
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    with open(VOCABULARY, "rb") as file:
+        vocabulary = file.read()
+    ids = bpe.encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return bpe.decode(ids, vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op2_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, max_distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -100,6 +117,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
     "op4_secret_scan": (op4_secret_scan, None),
     "op8_site_lines": (op8_site_lines, _OP8_SQL),
