@@ -94,7 +94,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
             p: unpack_bytes(d)
             for p, d in zip(words.column("part").to_pylist(), words.column("data").to_pylist(), strict=True)
         }
-        header = data[int(np.nonzero(parts == HEADER)[0][0])]
+        header = unpack_ints(data[int(np.nonzero(parts == HEADER)[0][0])])
         ids = by_number(header, answers)
         size = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
         start = np.cumsum(size) - size

@@ -9,6 +9,7 @@ the chunk. A chunk never has more such rows than words.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -18,9 +19,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged, text_of
+from millrace.llm.common import text_of
+from millrace.session import scratch
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 # Rows of a chunk table: part is a word shard, or one of these.
 TEXT, HEADER = -1, -2
 
@@ -30,13 +32,15 @@ def shard_count(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pack_ints(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit integers, byte planes apart, deflated."""
-    return zlib.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+def pack_ints(values: np.ndarray, kind: str = "<u4") -> bytes:
+    """Integers with their byte planes apart, deflated: high planes of small numbers take no room."""
+    width = np.dtype(kind).itemsize
+    return zlib.compress(values.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes(), 1)
 
 
-def unpack_ints(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def unpack_ints(data: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def pack_bytes(words: list[bytes]) -> bytes:
@@ -60,7 +64,7 @@ def chunked(
     flag: Column | None = None,
     chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
-    """Written table (chunk, part, id, flag, data, counts).
+    """Written table (chunk, part, id, flag, data, counts), bucketed by chunk.
 
     part TEXT: a document, data its word numbers; part HEADER: data the shard of
     each word number; any other part: data the words of that shard in order of
@@ -121,10 +125,25 @@ def chunked(
             yield flush()
 
     schema = f"chunk bigint, part int, id {kind.simpleString()}, flag boolean, data binary, counts binary"
-    return staged(picked.mapInArrow(run, schema), "chunks")
+    # Bucketed, so that answers go to the chunks without shuffling the texts again.
+    spark = docs.sparkSession
+    name, path = f"chunks_{uuid.uuid4().hex}", scratch(spark, "chunks")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = picked.mapInArrow(run, schema).write.bucketBy(buckets, "chunk").option("path", path)
+    writer.saveAsTable(name, format="parquet")
+    return spark.table(name)
 
 
-def by_number(header: bytes, answers: dict[int, list]) -> list:
+def by_number(header: np.ndarray, answers: dict[int, list]) -> list:
     """Answers of all shards of a chunk, in order of the word numbers."""
     streams = {s: iter(a) for s, a in answers.items()}
-    return [next(streams[s]) for s in unpack_ints(header).tolist()]
+    return [next(streams[s]) for s in header.tolist()]
+
+
+def numbers_by_number(header: np.ndarray, answers: dict[int, np.ndarray]) -> np.ndarray:
+    """The same for answers that are integers."""
+    out = np.empty(len(header), np.int64)
+    if len(header):
+        order = np.argsort(header, kind="stable")
+        out[order] = np.concatenate([answers[s] for s in np.unique(header).tolist()])
+    return out
