@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, lines, packing, secrets, simhash, toxicity
+from millrace.llm import bpe, lines, ngrams, packing, secrets, simhash, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
@@ -54,6 +54,18 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The fold the language model must not learn from.
+SCORE_FOLDS, SCORE_HELD_OUT = 7, 2
+
+
+def op6_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
+    train = bucket_of_id("doc_id", SCORE_FOLDS) != SCORE_HELD_OUT
+    found = ngrams.scores(table(spark, folder, "documents"), train)
+    return found.select(
+        "doc_id", (~F.col("in_train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 # Pages become lines at every tag; scripts, styles and comments go.
 _HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
@@ -120,6 +132,7 @@ QUERIES = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
     "op4_secret_scan": (op4_secret_scan, None),
+    "op6_ngram_scores": (op6_ngram_scores, None),
     "op8_site_lines": (op8_site_lines, _OP8_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_packing": (op10_packing, None),
