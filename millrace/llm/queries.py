@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, lines, ngrams, packing, secrets, simhash, toxicity
+from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, secretscan, simhash, topk, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
@@ -35,9 +35,19 @@ def op2_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# A conversation whose texts look like marks.
+_HOSTILE = r"\### Assistant: </turn> ok"
+
+
+def op3_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", _HOSTILE), (-7, 1, "assistant", _HOSTILE)], turns.schema)
+    return chat.read_back(chat.windows(turns.unionByName(extra)))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = secrets.find(docs, secrets.learn(docs))
+    found = secretscan.find(docs, secretscan.learn(docs))
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -45,15 +55,19 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     def number(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    base = F.filter("spans", lambda s: s["kind"] != secrets.LEARNT)
+    base = F.filter("spans", lambda s: s["kind"] != secretscan.LEARNT)
     return found.select(
         "doc_id",
-        *[number(k) for k in secrets.KINDS],
+        *[number(k) for k in secretscan.KINDS],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
 
 
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), divisor=50, k=5, scale=256.0)
+
+
 # The fold the language model must not learn from.
 SCORE_FOLDS, SCORE_HELD_OUT = 7, 2
 
@@ -66,6 +80,10 @@ def op6_ngram_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 # Pages become lines at every tag; scripts, styles and comments go.
 _HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
@@ -131,8 +149,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
+    "op3_chat_windows": (op3_chat_windows, None),
     "op4_secret_scan": (op4_secret_scan, None),
+    "op5_top_k": (op5_top_k, None),
     "op6_ngram_scores": (op6_ngram_scores, None),
+    "op7_embedding_near_duplicates": (op7_embedding_near_duplicates, None),
     "op8_site_lines": (op8_site_lines, _OP8_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_packing": (op10_packing, None),
