@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from millrace.llm.chunks import (
     TEXT,
     by_number,
     chunked,
-    pack_bytes,
+    pack_ints,
     shard_count,
     unpack_bytes,
     unpack_ints,
@@ -67,38 +68,39 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
 
         # The whole input is one piece, so each word is merged by itself.
         bpe = tiktoken.Encoding("own", pat_str="(?s:.+)", mergeable_ranks=ranks_of(vocabulary), special_tokens={})
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            out = []
+            sizes, out = [], []
             for data in batch.column(2):
-                ids = []
+                found = []
                 for word in unpack_bytes(data.as_py()):
-                    found = known.get(word)
-                    if found is None:
-                        found = np.array(bpe.encode_ordinary(word.decode("utf-8")), "<u4").tobytes()
-                        known[word] = found
-                    ids.append(found)
-                out.append(pack_bytes(ids))
+                    if word not in known:
+                        known[word] = bpe.encode_ordinary(word.decode("utf-8"))
+                    found.append(known[word])
+                sizes.append(pack_ints(np.fromiter(map(len, found), np.uint32, len(found))))
+                out.append(pack_ints(np.fromiter(chain.from_iterable(found), np.uint32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["chunk", "part", "data"]
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.binary()), pa.array(out, pa.binary())],
+                ["chunk", "part", "sizes", "data"],
             )
 
     words = table.where(F.col("part") >= 0).select("chunk", "part", "data")
-    back = words.repartition(F.col("part")).mapInArrow(encode_words, "chunk bigint, part int, data binary")
+    back = words.repartition(F.col("part")).mapInArrow(encode_words, "chunk bigint, part int, sizes binary, data binary")
     texts = table.where(F.col("part").isin(TEXT, HEADER)).select("chunk", "part", "id", "data")
 
     def reassemble(texts: pa.Table, words: pa.Table) -> pa.Table:
         parts = np.array(texts.column("part"))
         data = texts.column("data").to_pylist()
-        answers = {
-            p: unpack_bytes(d)
-            for p, d in zip(words.column("part").to_pylist(), words.column("data").to_pylist(), strict=True)
-        }
         header = unpack_ints(data[int(np.nonzero(parts == HEADER)[0][0])])
-        ids = by_number(header, answers)
-        size = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        shards = words.sort_by("part")
+        lists = [unpack_ints(d) for d in shards.column("data").to_pylist()]
+        sizes = dict(zip(shards.column("part").to_pylist(), map(unpack_ints, shards.column("sizes").to_pylist()), strict=True))
+        flat = np.concatenate([np.zeros(0, np.uint32), *lists])
+        size = by_number(header, sizes)
+        # Ids lie by shard, and in a shard by number.
+        order = np.argsort(header, kind="stable")
+        start = np.empty(len(order), np.int64)
+        start[order] = np.cumsum(size[order]) - size[order]
         rows = np.nonzero(parts == TEXT)[0]
         out = []
         for r in rows.tolist():

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import text_of
 from millrace.session import scratch
 
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 6_000_000
 # Rows of a chunk table: part is a word shard, or one of these.
 TEXT, HEADER = -1, -2
 
@@ -134,16 +134,9 @@ def chunked(
     return spark.table(name)
 
 
-def by_number(header: np.ndarray, answers: dict[int, list]) -> list:
-    """Answers of all shards of a chunk, in order of the word numbers."""
-    streams = {s: iter(a) for s, a in answers.items()}
-    return [next(streams[s]) for s in header.tolist()]
-
-
-def numbers_by_number(header: np.ndarray, answers: dict[int, np.ndarray]) -> np.ndarray:
-    """The same for answers that are integers."""
+def by_number(header: np.ndarray, answers: dict[int, np.ndarray]) -> np.ndarray:
+    """Answers of all shards of a chunk, one integer for each word, in order of the word numbers."""
     out = np.empty(len(header), np.int64)
     if len(header):
-        order = np.argsort(header, kind="stable")
-        out[order] = np.concatenate([answers[s] for s in np.unique(header).tolist()])
+        out[np.argsort(header, kind="stable")] = np.concatenate([answers[s] for s in np.unique(header).tolist()])
     return out

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from millrace.llm.chunks import (
     HEADER,
     TEXT,
+    by_number,
     chunked,
-    numbers_by_number,
     pack_ints,
     shard_count,
     unpack_bytes,
@@ -195,8 +195,8 @@ def scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         data = rows.column("data").to_pylist()
         header = unpack_ints(data[int(np.nonzero(parts == HEADER)[0][0])])
         by = {p: (d, c) for p, d, c in zip(*(found.column(k).to_pylist() for k in ("part", "data", "counts")), strict=True)}
-        ids = numbers_by_number(header, {p: unpack_ints(d, _U8) for p, (d, _) in by.items() if p >= 0})
-        counts = numbers_by_number(header, {p: unpack_ints(c, _U8) for p, (_, c) in by.items() if p >= 0})
+        ids = by_number(header, {p: unpack_ints(d, _U8) for p, (d, _) in by.items() if p >= 0})
+        counts = by_number(header, {p: unpack_ints(c, _U8) for p, (_, c) in by.items() if p >= 0})
         places = np.nonzero(parts == TEXT)[0]
         numbers = [unpack_ints(data[i]).astype(np.int64) for i in places.tolist()]
         flags = np.array([rows.column("flag")[i].as_py() for i in places.tolist()], bool)
