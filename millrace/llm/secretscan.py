@@ -17,7 +17,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import text_of
@@ -200,11 +200,12 @@ def learn(docs: DataFrame, text_col: str = "text") -> Formats:
 
     found = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "kind int, value string")
     found = found.where(F.length("value") <= MAX_EXAMPLE_CHARS).withColumn("h", F.xxhash64("value"))
-    examples: dict[int, list[str]] = {}
-    distinct = found.distinct()
-    for k in range(len(KINDS) + 1):
-        rows = distinct.where(F.col("kind") == k).orderBy("h", "value").limit(MAX_EXAMPLES).collect()
-        examples[k] = [r["value"] for r in rows]
+    # Each task passes on only its smallest hashes, so no kind is gathered whole.
+    order = Window.partitionBy("kind").orderBy("h", "value")
+    chosen = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= MAX_EXAMPLES)
+    examples: dict[int, list[str]] = defaultdict(list)
+    for row in chosen.orderBy("kind", "rank").collect():
+        examples[row["kind"]].append(row["value"])
     return Formats(examples)
 
 
