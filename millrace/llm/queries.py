@@ -94,7 +94,7 @@ PAGE_RATIO, PAGE_LEAST = 0.1, 5
 def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     shown = F.regexp_replace(F.regexp_replace("html", _HIDDEN, "\n"), _TAG, "\n")
-    rows = F.filter(F.transform(F.split(shown, "\n"), F.trim), lambda x: x != "")
+    rows = F.filter(F.transform(F.split(shown, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     host = F.coalesce(F.regexp_extract(F.lower("url"), _HOST, 1), F.lit(""))
     found = lines.without_boilerplate(pages, host, rows, PAGE_RATIO, PAGE_LEAST)
     return found.select(
