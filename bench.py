@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from millrace.plans.registry import queries  # noqa: E402
-from millrace.session import build_session  # noqa: E402
+from millrace.session import build_session, release_scratch  # noqa: E402
 
 # Analytical queries and load jobs whose sum is the metric.
 HEADLINE = (
@@ -62,6 +62,7 @@ def main() -> None:
     }
     if failed:
         result["failed"] = failed
+    release_scratch(spark)
     spark.stop()
     print(json.dumps(result))
 

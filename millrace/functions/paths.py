@@ -15,8 +15,11 @@ def pattern_regex(pattern: str) -> str:
 
 
 def filepath(pattern: str, wildcard: int) -> Column:
-    """Text matched by the n-th ``*`` of the pattern, for the file of each row.
+    """Text matched by the n-th ``*`` of the pattern, for the file of each row; NULL if it does not match.
 
     Reads the hidden ``_metadata`` column, so use it directly on a file scan.
     """
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern_regex(pattern), wildcard)
+    # The column is URL-encoded, the pattern is not; decoding would turn a plus into a blank.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    regex = pattern_regex(pattern)
+    return F.when(path.rlike(regex), F.regexp_extract(path, regex, wildcard))

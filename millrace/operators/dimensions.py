@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import calendar_columns, hour_key
+from millrace.functions.dates import calendar_columns
 from millrace.operators.keys import append_members, assign_keys, new_members
 from millrace.operators.quality import require_business_key
 
@@ -42,8 +42,10 @@ def extend_date_dimension(dimension: DataFrame, facts: DataFrame, column: str, f
 def time_dimension(spark: SparkSession, first: dt.datetime, last: dt.datetime, grain_seconds: int = 3600) -> DataFrame:
     """One row per interval; generated in parallel, so a fine grain is no problem."""
     utc = dt.timezone.utc
-    begin = int(first.replace(tzinfo=utc).timestamp()) // grain_seconds
-    end = int(last.replace(tzinfo=utc).timestamp()) // grain_seconds
+    first, last = (t.astimezone(utc) if t.tzinfo else t.replace(tzinfo=utc) for t in (first, last))
+    begin, end = int(first.timestamp()) // grain_seconds, int(last.timestamp()) // grain_seconds
+    # The key is as fine as the grain, so it is unique.
+    digits = "yyyyMMddHH" + ("" if grain_seconds % 3600 == 0 else "mm" if grain_seconds % 60 == 0 else "mmss")
     origin = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     seconds = F.col("id") * grain_seconds
     moment = origin + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
@@ -52,7 +54,7 @@ def time_dimension(spark: SparkSession, first: dt.datetime, last: dt.datetime, g
         spark.range(begin, end + 1)
         .select(moment.alias("t"))
         .select(
-            hour_key(F.col("t")).alias("TimeKey"),
+            F.date_format("t", digits).cast("bigint").alias("TimeKey"),
             day.alias("DateAltKey"),
             F.hour("t").alias("HourOfDay"),
             F.minute("t").alias("MinuteOfHour"),
@@ -105,6 +107,7 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
 
     Validity is half open: a row holds for ``ValidFrom <= day < ValidTo``. New
     members are added as well; members whose attributes agree stay as they are.
+    A change dated before the current row of its member raises, naming the member.
     """
     require_business_key(staged, business_key, "staged rows")
     columns = dimension.columns
@@ -112,6 +115,8 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
     attributes = [c for c in columns if c not in own]
     current = dimension.where("IsCurrent").alias("cur")
     same_member = F.col(f"stg.{business_key}") == F.col(f"cur.{business_key}")
+    late = F.concat(F.lit("change before the current row of "), F.col(f"stg.{business_key}").cast("string"))
+    since = F.when(F.col("cur.ValidFrom") > F.lit(changed_on), F.raise_error(late)).otherwise(F.lit(changed_on))
     arriving = (
         staged.alias("stg")
         .join(current, same_member, "left")
@@ -119,7 +124,7 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
         .select(
             f"stg.{business_key}",
             *[f"stg.{c}" for c in attributes],
-            F.lit(changed_on).alias("ValidFrom"),
+            since.alias("ValidFrom"),
             F.lit(OPEN_END).alias("ValidTo"),
             F.lit(True).alias("IsCurrent"),
         )

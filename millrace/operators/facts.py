@@ -39,6 +39,14 @@ def matched(facts: DataFrame, keys: list[str]) -> DataFrame:
     return facts.dropna(subset=keys)
 
 
+def unmatched(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Facts with a key that was not found: together with ``matched`` all of them."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return facts.where(missing)
+
+
 def point_in_time(facts: DataFrame, day: Column, lookup: Lookup) -> DataFrame:
     """Key of the dimension row that was valid on the fact's day.
 

@@ -21,7 +21,8 @@ def measured_bytes(df: DataFrame, max_rows: int = REPLICATE_ROWS) -> int | None:
             width = width + 16
         else:
             return None
-    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width.cast("bigint"))).first()
+    # Partial sums: one row per task reaches the last one.
+    rows, size = df.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
     return None if rows > max_rows else (size or 0)
 
 
@@ -40,27 +41,14 @@ def round_robin(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def largest_share(df: DataFrame, key: str) -> tuple[int, int]:
-    """(rows of the most frequent key, rows in all)."""
-    top, total = df.groupBy(key).count().agg(F.max("count"), F.sum("count")).first()
-    return top or 0, total or 0
-
-
-def save_hashed(df: DataFrame, table: str, key: str, buckets: int, path: str, skew: float = 4.0) -> bool:
-    """Write a table hash-distributed (bucketed) on a key; says whether it did.
+def save_hashed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
+    """Write a table hash-distributed (bucketed) on a key.
 
     Equally bucketed tables join on the key without a shuffle. A bucket is read
-    by one task, so a key holding more than ``skew`` times a fair bucket would
-    make one task huge: such a table is written unbucketed, and its joins
-    shuffle, where adaptive skew handling can split the key.
+    by one task, so for a key that holds a large part of the rows the caller
+    chooses ``round_robin`` instead: such joins shuffle, where adaptive skew
+    handling can split the key.
     """
-    top, total = largest_share(df, key)
-    fits = top * buckets <= skew * total or total == 0
-    if fits:
-        # One shuffle on the key first: one file per bucket instead of one per
-        # bucket and task.
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key)
-    else:
-        writer = round_robin(df).write
+    # One shuffle on the key first: one file per bucket instead of one per bucket and task.
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key)
     writer.format("parquet").option("path", path).saveAsTable(table)
-    return fits

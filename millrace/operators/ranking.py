@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.keys import ordered_positions
 
-# Rows one task sorts comfortably; larger groups take the distributed way.
-MAX_GROUP_ROWS = 2_000_000
-
 
 def _tile(row_number: Column, rows: Column, tiles: int) -> Column:
     """NTILE from a row number: the first ``rows % tiles`` tiles hold one row more."""
@@ -36,10 +33,10 @@ def _native(df, group, value, descending, tie_break, tiles):
     numbered = Window.partitionBy(*group).orderBy(by_value, *tie_break)
     return df.select(
         *df.columns,
-        F.row_number().over(numbered).cast("bigint").alias("RowNumber"),
-        F.rank().over(ranked).cast("bigint").alias("Rank"),
-        F.dense_rank().over(ranked).cast("bigint").alias("DenseRank"),
-        F.ntile(tiles).over(numbered).cast("bigint").alias("Quartile"),
+        F.row_number().over(numbered).cast("bigint").alias("Position"),
+        F.rank().over(ranked).cast("bigint").alias("Place"),
+        F.dense_rank().over(ranked).cast("bigint").alias("Step"),
+        F.ntile(tiles).over(numbered).cast("bigint").alias("Tile"),
     )
 
 
@@ -74,18 +71,13 @@ def _distributed(df, group, value, descending, tie_break, tiles):
     row_number = F.col("position") - F.col("group_start") + 1
     return joined.select(
         *[F.col(f"r.{c}") for c in columns],
-        row_number.cast("bigint").alias("RowNumber"),
-        (F.col("run_start") - F.col("group_start") + 1).cast("bigint").alias("Rank"),
-        (F.col("run_position") - F.col("group_run") + 1).cast("bigint").alias("DenseRank"),
-        _tile(row_number, F.col("group_rows"), tiles).cast("bigint").alias("Quartile"),
+        row_number.cast("bigint").alias("Position"),
+        (F.col("run_start") - F.col("group_start") + 1).cast("bigint").alias("Place"),
+        (F.col("run_position") - F.col("group_run") + 1).cast("bigint").alias("Step"),
+        _tile(row_number, F.col("group_rows"), tiles).cast("bigint").alias("Tile"),
     )
 
 
-def largest_group(df: DataFrame, group: list[str]) -> int:
-    """Row count of the largest group (counted map-side first)."""
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-
-
 def rank_within(
     df: DataFrame,
     group: list[str],
@@ -93,18 +85,15 @@ def rank_within(
     tie_break: list[str],
     descending: bool = True,
     tiles: int = 4,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    group_rows: int | None = None,
+    windows: bool = False,
 ) -> DataFrame:
-    """Append RowNumber, Rank, DenseRank and Quartile per group.
+    """Append Position, Place, Step and Tile per group: ROW_NUMBER, RANK, DENSE_RANK and NTILE.
 
-    Rank and DenseRank see ties in ``value``; RowNumber and Quartile use
-    ``tie_break`` so that they are repeatable. Groups that fit a task use Spark's
-    window functions; beyond that the distributed form gives the same numbers.
-    A known upper bound of the group size (``group_rows``) saves counting.
+    Place and Step see ties in ``value``; Position and Tile use
+    ``tie_break`` so that they are repeatable. The numbers come from positions in
+    one total order, whatever the group sizes; with ``windows`` they come from
+    window functions, for groups that the caller knows to fit a task.
     """
     if not group:
         raise ValueError("no group: use keys.ordered_positions to number a whole table")
-    rows = largest_group(df, group) if group_rows is None else group_rows
-    small = rows <= max_group_rows
-    return (_native if small else _distributed)(df, group, value, descending, tie_break, tiles)
+    return (_native if windows else _distributed)(df, group, value, descending, tie_break, tiles)

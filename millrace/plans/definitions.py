@@ -38,7 +38,7 @@ def database_scope(spark, folder):
 
 
 def create_table_schema(spark, folder):
-    name = f"{new_database(spark)}.ManagedSalesOrders"
+    name = f"{new_database(spark)}.OrderBook"
     create_table(
         spark, name, "OrderId BIGINT NOT NULL, OrderDate DATE NOT NULL, CustomerName STRING, SalesTotal FLOAT NOT NULL"
     )
@@ -49,7 +49,7 @@ def create_table_schema(spark, folder):
 
 
 def create_table_builder(spark, folder):
-    name = f"{new_database(spark)}.ManagedProducts"
+    name = f"{new_database(spark)}.PriceList"
     builder = TableBuilder(spark, name).column("ProductId", "BIGINT").column("ProductName", "STRING")
     builder.column("Category", "STRING").column("Price", "FLOAT").create()
     products(spark, folder).withColumn("ListPrice", F.col("ListPrice").cast("float")).write.insertInto(name)
@@ -78,9 +78,9 @@ def create_table_guards(spark, folder):
 
 
 def register_location(spark, folder):
-    path = scratch(spark, "mydata")
+    path = scratch(spark, "known")
     sales_orders(spark, folder).write.parquet(path)
-    return register_folder(spark, f"{new_database(spark)}.MyExternalTable", path)
+    return register_folder(spark, f"{new_database(spark)}.KnownFiles", path)
 
 
 def create_table_empty(spark, folder):

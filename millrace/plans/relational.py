@@ -99,8 +99,8 @@ def star_sales_by_quarter_city(spark, folder):
     who = Lookup("o_custkey", table(spark, folder, "customer"), "c_custkey", "c_custkey")
     dates = Lookup("OrderDateKey", _dates(spark, folder), "DateKey", "DateKey")
     where = Lookup("c_nationkey", cities(spark, folder), "CityKey", "CityKey")
-    sales = star.sum_by(_order_amounts(spark, folder, "o_custkey"), ["OrderDateKey", "o_custkey"], "SalesUnits")
-    sales = star.roll_up(sales, who, ["c_nationkey"], "SalesUnits", keep=["OrderDateKey"])
+    # A customer rarely orders twice a day, so orders meet their customer at once.
+    sales = star.roll_up(_order_amounts(spark, folder, "o_custkey"), who, ["c_nationkey"], "SalesUnits", keep=["OrderDateKey"])
     quarter = ["CalendarYear", "CalendarQuarter"]
     sales = star.roll_up(sales, dates, quarter, "SalesUnits", keep=["c_nationkey"])
     sales = star.roll_up(sales, where, ["City"], "SalesUnits", keep=quarter)
@@ -151,7 +151,7 @@ def distinct_orders_by_year(spark, folder):
     """The date depends on the order alone, so lines are reduced to distinct orders first."""
     numbers = table(spark, folder, "lineitem").select("l_orderkey").distinct()
     facts = numbers.join(_order_years(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
-    return star.distinct_per(facts, "CalendarYear", "l_orderkey", "Orders").orderBy("CalendarYear")
+    return facts.groupBy("CalendarYear").agg(F.count("*").alias("Orders")).orderBy("CalendarYear")
 
 
 def approx_orders_by_year(spark, folder):
@@ -176,8 +176,8 @@ def rank_products(spark, folder):
     return rank_within(df, ["ProductCategory"], "ListPrice", ["ProductID"])
 
 
-def rank_stores_by_year(spark, folder):
-    """Stores of each year by revenue; equal revenues share a rank.
+def revenue_by_store(spark, folder):
+    """Revenue of each store and year.
 
     An order rarely names a store twice, so summing lines before they meet their
     order would not make them fewer; they are summed per year and store after
@@ -190,12 +190,15 @@ def rank_stores_by_year(spark, folder):
     sales = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     revenue = star.sum_by(sales, ["CalendarYear", "l_suppkey"], "Revenue")
     stores = table(spark, folder, "supplier").select("s_suppkey", F.col("s_name").alias("StoreName"))
-    named = revenue.join(stores, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    return revenue.join(stores, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "CalendarYear", F.col("s_suppkey").alias("StoreNo"), "StoreName", "Revenue"
     )
-    # A year holds each store once at most: the store count bounds its size.
-    ranked = rank_within(named, ["CalendarYear"], "Revenue", ["StoreNo"], group_rows=stores.count())
-    return ranked.select("CalendarYear", "StoreNo", "StoreName", from_units("Revenue").alias("Revenue"), "Rank")
+
+
+def rank_stores_by_year(spark, folder):
+    """Stores of each year by revenue; equal revenues share a rank."""
+    ranked = rank_within(revenue_by_store(spark, folder), ["CalendarYear"], "Revenue", ["StoreNo"])
+    return ranked.select("CalendarYear", "StoreNo", "StoreName", from_units("Revenue").alias("Revenue"), "Place")
 
 
 def sort_customers(spark, folder):
@@ -219,10 +222,11 @@ def json_value_query(spark, folder):
 
 
 _RANKED = """
-  row_number() OVER (PARTITION BY ProductCategory ORDER BY ListPrice DESC, ProductID) AS RowNumber,
-  rank() OVER (PARTITION BY ProductCategory ORDER BY ListPrice DESC) AS Rank,
-  dense_rank() OVER (PARTITION BY ProductCategory ORDER BY ListPrice DESC) AS DenseRank,
-  CAST(ntile(4) OVER (PARTITION BY ProductCategory ORDER BY ListPrice DESC, ProductID) AS BIGINT) AS Quartile"""
+  row_number() OVER w AS Position, rank() OVER v AS Place, dense_rank() OVER v AS Step,
+  CAST(ntile(4) OVER w AS BIGINT) AS Tile"""
+_RANK_WINDOWS = """
+  WINDOW v AS (PARTITION BY ProductCategory ORDER BY ListPrice DESC),
+         w AS (PARTITION BY ProductCategory ORDER BY ListPrice DESC, ProductID)"""
 
 _SALES = f"""
   SELECT CAST(year(o_orderdate) AS BIGINT) AS CalendarYear, CAST(quarter(o_orderdate) AS BIGINT) AS CalendarQuarter,
@@ -300,12 +304,13 @@ QUERIES = {
     "rank_products": (
         rank_products,
         f"""SELECT *, {_RANKED}
-            FROM (SELECT p_type AS ProductCategory, p_partkey AS ProductID, p_retailprice AS ListPrice FROM part)""",
+            FROM (SELECT p_type AS ProductCategory, p_partkey AS ProductID, p_retailprice AS ListPrice FROM part)
+            {_RANK_WINDOWS}""",
     ),
     "rank_stores_by_year": (
         rank_stores_by_year,
         f"""SELECT CalendarYear, StoreNo, StoreName, CAST(Revenue AS DOUBLE) AS Revenue,
-                   rank() OVER (PARTITION BY CalendarYear ORDER BY Revenue DESC) AS Rank
+                   rank() OVER (PARTITION BY CalendarYear ORDER BY Revenue DESC) AS Place
             FROM (SELECT CalendarYear, s_suppkey AS StoreNo, s_name AS StoreName, sum(SalesAmount) AS Revenue
                   FROM ({_SALES}) JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)""",
     ),

@@ -73,6 +73,7 @@ def stream_versioned_sink(spark, folder):
 def stream_versioned_source(spark, folder):
     """First the table as it is, then an append and the rows an update writes again."""
     versioned = VersionedTable.create(_readings(spark, folder, "event_type = 'view'"), scratch(spark, "devices"))
+    versioned.append(_readings(spark, folder, "event_type NOT IN ('view', 'click')"))
     path, checkpoint = scratch(spark, "followed"), scratch(spark, "checkpoint")
     to_parquet(versioned.read_stream(ignore_changes=True, since=0), path, checkpoint, finish=True)
     versioned.append(_readings(spark, folder, "event_type = 'click'"))
@@ -99,7 +100,7 @@ QUERIES = {
     ),
     "stream_versioned_source": (
         stream_versioned_source,
-        f"""SELECT * FROM ({_READINGS}) WHERE status IN ('view', 'click')
+        f"""SELECT * FROM ({_READINGS}) 
             UNION ALL SELECT event_id, device, 'seen' FROM ({_READINGS}) WHERE status = 'view'""",
     ),
 }

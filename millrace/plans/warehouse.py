@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import date_key
 from millrace.operators import dimensions, quality
-from millrace.operators.facts import Lookup, matched, point_in_time, replace_keys
+from millrace.operators.facts import Lookup, matched, point_in_time, replace_keys, unmatched
 from millrace.operators.keys import append_members, new_members
 from millrace.plans.inputs import CUSTOMERS_SQL, customers, money, new_database, order_heads, order_lines, table
 from millrace.session import scratch
@@ -60,8 +60,8 @@ def dim_upsert_rebuild(spark, folder):
         "ListPrice", (F.col("ListPrice") + 10).cast("decimal(18,2)")
     )
     rebuilt = dimensions.upsert(spark.table(f"{database}.DimProduct"), staged, "ProdAltKey", "ProdKey")
-    tables.save_managed(rebuilt, f"{database}.DimProductUpsert")
-    tables.swap(spark, f"{database}.DimProduct", f"{database}.DimProductUpsert", f"{database}.DimProductArchive")
+    tables.save_managed(rebuilt, f"{database}.ProductsNext")
+    tables.swap(spark, f"{database}.DimProduct", f"{database}.ProductsNext", f"{database}.ProductsBefore")
     return _as_double(spark.table(f"{database}.DimProduct"))
 
 
@@ -122,9 +122,9 @@ def dim_snowflake_split(spark, folder):
 
 # ---- facts ------------------------------------------------------------------
 
-def fact_sales_build(spark, folder):
+def _keyed_sales(spark, folder, parts):
+    """Order lines with the keys of their dimensions, NULL where one is unknown."""
     who = dimensions.full_load(customers(spark, folder), {"CustomerNo": "CustAltKey"}, "CustAltKey", "CustomerKey")
-    parts = table(spark, folder, "part").where("p_size <= 40")
     what = dimensions.full_load(parts, {"p_partkey": "ProdAltKey"}, "ProdAltKey", "ProductKey")
     stores = table(spark, folder, "supplier")
     where = dimensions.full_load(stores, {"s_suppkey": "StoreAltKey"}, "StoreAltKey", "StoreKey")
@@ -139,9 +139,28 @@ def fact_sales_build(spark, folder):
             Lookup("StoreNo", where, "StoreAltKey", "StoreKey"),
         ],
     ).withColumn("OrderNumber", F.col("OrderNumber").cast("string"))
-    facts = matched(keyed, ["CustomerKey", "ProductKey", "StoreKey"])
     money_columns = ("UnitPrice", "Discount", "Tax", "SalesAmount")
-    return facts.withColumns({c: F.col(c).cast("double") for c in money_columns})
+    return keyed.withColumns({c: F.col(c).cast("double") for c in money_columns})
+
+
+_SALES_KEYS = ["CustomerKey", "ProductKey", "StoreKey"]
+
+
+def fact_sales_build(spark, folder):
+    return matched(_keyed_sales(spark, folder, table(spark, folder, "part")), _SALES_KEYS)
+
+
+def fact_sales_rejects(spark, folder):
+    """The lines a load leaves out while the large products are not in their dimension yet."""
+    return unmatched(_keyed_sales(spark, folder, table(spark, folder, "part").where("p_size <= 40")), _SALES_KEYS)
+
+
+def dim_time_minute_build(spark, folder):
+    """Every minute between the first and the last event."""
+    first, last = table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
+    return dimensions.time_dimension(spark, first, last, 60).select(
+        "TimeKey", "DateAltKey", *[F.col(c).cast("bigint").alias(c) for c in ("HourOfDay", "MinuteOfHour")]
+    )
 
 
 # ---- checks -----------------------------------------------------------------
@@ -212,6 +231,25 @@ _HISTORY = f"""
   FROM ({CUSTOMERS_SQL}) WHERE Segment IN ('BUILDING', 'MACHINERY')"""
 _PLACED = f"SELECT CustomerNo, CustomerName, Segment, nullif(City, 'NATION_3') AS City, CountryRegion FROM ({CUSTOMERS_SQL})"
 
+# The fact table's columns are the ones asked for.
+def _sales_sql(known: str, wanted: str) -> str:
+    return f"""SELECT * FROM (
+           SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS OrderDateKey, CustomerKey, ProductKey, StoreKey,
+                  CAST(l_orderkey AS VARCHAR) AS OrderNumber, l_linenumber AS OrderLineItem,
+                  CAST(l_quantity AS SMALLINT) AS OrderQuantity,
+                  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS UnitPrice,
+                  CAST(CAST(l_discount AS DECIMAL(18,2)) AS DOUBLE) AS Discount,
+                  CAST(CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS Tax,
+                  CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                       AS DECIMAL(18,4)) AS DOUBLE) AS SalesAmount
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+           JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS CustomerKey FROM customer) ON c_custkey = o_custkey
+           LEFT JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS ProductKey FROM part WHERE {known})
+             ON p_partkey = l_partkey
+           JOIN (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS StoreKey FROM supplier) ON s_suppkey = l_suppkey)
+           WHERE {wanted}"""
+
+
 QUERIES = {
     "surrogate_key_full": (
         surrogate_key_full,
@@ -254,22 +292,15 @@ QUERIES = {
                    dense_rank() OVER (ORDER BY City NULLS FIRST, CountryRegion NULLS FIRST) AS GeographyKey
             FROM ({_PLACED})""",
     ),
-    "fact_sales_build": (
-        fact_sales_build,
-        """SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS OrderDateKey, CustomerKey, ProductKey, StoreKey,
-                  CAST(l_orderkey AS VARCHAR) AS OrderNumber, l_linenumber AS OrderLineItem,
-                  CAST(l_quantity AS SMALLINT) AS OrderQuantity,
-                  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS UnitPrice,
-                  CAST(CAST(l_discount AS DECIMAL(18,2)) AS DOUBLE) AS Discount,
-                  CAST(CAST(l_tax AS DECIMAL(18,2)) AS DOUBLE) AS Tax,
-                  CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-                       AS DECIMAL(18,4)) AS DOUBLE) AS SalesAmount
-           FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-           JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS CustomerKey FROM customer) ON c_custkey = o_custkey
-           JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS ProductKey FROM part WHERE p_size <= 40)
-             ON p_partkey = l_partkey
-           JOIN (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS StoreKey FROM supplier) ON s_suppkey = l_suppkey""",
+    "dim_time_minute_build": (
+        dim_time_minute_build,
+        """SELECT CAST(strftime(t, '%Y%m%d%H%M') AS BIGINT) AS TimeKey, CAST(t AS DATE) AS DateAltKey,
+                  CAST(hour(t) AS BIGINT) AS HourOfDay, CAST(minute(t) AS BIGINT) AS MinuteOfHour
+           FROM (SELECT unnest(generate_series(date_trunc('minute', (SELECT min(ts) FROM events)),
+                                               (SELECT max(ts) FROM events), INTERVAL 1 MINUTE)) AS t)""",
     ),
+    "fact_sales_build": (fact_sales_build, _sales_sql("true", "true")),
+    "fact_sales_rejects": (fact_sales_rejects, _sales_sql("p_size <= 40", "ProductKey IS NULL")),
     "check_unique": (
         check_unique,
         """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem

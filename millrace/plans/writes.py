@@ -60,10 +60,10 @@ def sink_external_table(spark, folder):
 def _year_month_table(spark, folder):
     database = new_database(spark)
     tables.save_external(sales_orders(spark, folder), f"{database}.sales_orders", scratch(spark, "external"))
-    derived = spark.sql(
-        f"SELECT *, YEAR(OrderDate) AS Year, MONTH(OrderDate) AS Month FROM {database}.sales_orders"
+    derived = spark.table(f"{database}.sales_orders").withColumns(
+        {"Year": F.year("OrderDate"), "Month": F.month("OrderDate")}
     )
-    name = f"{database}.transformed_orders"
+    name = f"{database}.orders_by_month"
     tables.save_external(derived, name, scratch(spark, "transformed"), ["Year", "Month"])
     return name
 
@@ -114,7 +114,7 @@ def cetas_special_orders(spark, folder):
             F.col("OrderID").cast("bigint").alias("OrderID"), "CustomerName", "OrderTotal"
         )
         stored = lake.table_as_select(
-            special, f"{database}.SpecialOrders_{kind}", f"special_orders_{kind}", "files", "ParquetFormat"
+            special, f"{database}.RushSales_{kind}", f"rush_{kind}", "files", "ParquetFormat"
         )
         results.append(stored.withColumn("source_path", F.lit(kind)))
     return results[0].unionByName(results[1])
@@ -128,7 +128,7 @@ def rebuild_special_orders_by_year(spark, folder):
     lake.external_table(f"{database}.sales_orders", schema, "sales_orders/*.csv", "files", "CsvFormat", header="true")
     query = f"""SELECT OrderID, CustomerName, OrderTotal FROM {database}.sales_orders
                 WHERE OrderType = 'Special Order' AND YEAR(OrderDate) = :order_year"""
-    name, path = f"{database}.SpecialOrders", lake.path("special_orders", "files")
+    name, path = f"{database}.RushSales", lake.path("rush", "files")
     for year in (1997, 1998):
         result = tables.rebuild_external(spark, name, path, query, order_year=year)
     return result
@@ -150,8 +150,8 @@ def insert_values(spark, folder):
         "Name",
     )
     tables.save_managed(people, name)
-    spark.sql(f"INSERT INTO {name} VALUES (-123, 'John', 'Yang')")
-    return spark.sql(f"SELECT * FROM {name} WHERE CustomerID = -123 OR FirstName = 'MACHINERY'")
+    spark.sql(f"INSERT INTO {name} VALUES (-1, 'Mill', 'Race')")
+    return spark.table(name)
 
 
 _STAGE = (
@@ -279,7 +279,7 @@ QUERIES = {
     "insert_values": (
         insert_values,
         """SELECT c_custkey AS CustomerID, c_mktsegment AS FirstName, c_name AS LastName FROM customer
-           WHERE c_mktsegment = 'MACHINERY' UNION ALL SELECT -123, 'John', 'Yang'""",
+           UNION ALL SELECT -1, 'Mill', 'Race'""",
     ),
     "copy_into_staging": (
         copy_into_staging,

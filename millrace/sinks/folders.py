@@ -38,7 +38,12 @@ def swap_in(spark: SparkSession, path: str, fresh: str) -> None:
     old = f"_{name}.old-{uuid.uuid4().hex}"
     if files.exists(name):
         files.move(name, old)
-    files.move(fresh, name)
+    try:
+        files.move(fresh, name)
+    except Exception:
+        if files.exists(old):
+            files.move(old, name)
+        raise
     files.delete(old)
 
 

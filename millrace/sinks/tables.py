@@ -8,7 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.operators.keys import append_members
 from millrace.operators.quality import require_constraints
-from millrace.sinks.folders import gathered, swap_in, write_beside
+from millrace.session import scratch
+from millrace.sinks.folders import swap_in, write_beside
 
 _BAD = "_corrupt_record"
 
@@ -19,9 +20,16 @@ class TooManyErrors(ValueError):
 
 def save_external(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Table whose files stay when it is dropped."""
-    writer = gathered(df, partition_by).write
-    writer.saveAsTable(name, format="parquet", mode="overwrite", partitionBy=partition_by, path=path)
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    # Complete beside the target first: the frame may read the files it replaces.
+    swap_in(spark, path, write_beside(df, path, partition_by))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
 
 
 def save_managed(df: DataFrame, name: str) -> DataFrame:
@@ -45,7 +53,11 @@ def insert_checked(
 def swap(spark: SparkSession, current: str, rebuilt: str, archive: str) -> None:
     """Put a rebuilt table in the place of the current one, which is kept as archive."""
     spark.sql(f"ALTER TABLE {current} RENAME TO {archive}")
-    spark.sql(f"ALTER TABLE {rebuilt} RENAME TO {current}")
+    try:
+        spark.sql(f"ALTER TABLE {rebuilt} RENAME TO {current}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {archive} RENAME TO {current}")
+        raise
 
 
 def rebuild_external(spark: SparkSession, name: str, path: str, query: str, **parameters) -> DataFrame:
@@ -56,22 +68,19 @@ def rebuild_external(spark: SparkSession, name: str, path: str, query: str, **pa
     """
     rows = spark.sql(query, args=parameters)
     fresh = write_beside(rows, path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     swap_in(spark, path, fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.catalog.createTable(name, path=path, source="parquet", schema=rows.schema)
 
 
-def _read_checked(spark: SparkSession, path: str, schema: StructType, max_errors: int, options: dict) -> DataFrame:
-    if max_errors == 0:
-        # The first bad row fails the job, whose output is then never committed.
-        return spark.read.schema(schema).options(mode="FAILFAST", **options).csv(path)
-    marked = StructType([*schema.fields, StructField(_BAD, StringType())])
-    rows = spark.read.schema(marked).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, **options).csv(path)
-    # Hashing all columns keeps them all in the scan: a pruned column is not parsed.
-    bad, _ = rows.agg(F.count(_BAD), F.bit_xor(F.xxhash64(*schema.names))).first()
-    if bad > max_errors:
-        raise TooManyErrors(f"{bad} bad rows in {path}, {max_errors} allowed")
-    return rows.where(F.col(_BAD).isNull()).drop(_BAD)
+def _broken(not_null: list[str], max_lengths: dict[str, int]):
+    """Whether a row breaks a rule of the table, as a boolean column."""
+    broken = F.lit(False)
+    for c in not_null:
+        broken = broken | F.col(c).isNull()
+    for c, n in max_lengths.items():
+        broken = broken | F.coalesce(F.char_length(c) > n, F.lit(False))
+    return broken
 
 
 def copy_into(
@@ -82,25 +91,38 @@ def copy_into(
     file_type: str = "PARQUET",
     max_errors: int = 0,
     identity: tuple[str, list[str]] | None = None,
+    not_null: list[str] | None = None,
+    max_lengths: dict[str, int] | None = None,
     **options: str,
-) -> None:
-    """Append files to a table, taking the listed columns by name.
-
-    CSV files need the listed columns in file order; up to ``max_errors`` rows
-    that do not parse are left out. Table columns that are not listed get NULL.
-    With ``identity=(key, business_key)`` a key in the files is not accepted:
-    the loaded rows are numbered after the keys already in the table.
+) -> DataFrame:
+    """Append files to a table, taking the listed columns by name; returns the rows left out.
+
+    CSV files need the listed columns in file order. A row that does not parse,
+    or that breaks a NOT NULL or length rule named here, is bad: up to
+    ``max_errors`` bad rows are left out, more raise TooManyErrors and nothing is
+    loaded. Table columns that are not listed get NULL. With
+    ``identity=(key, business_key)`` a key in the files is not accepted, nor
+    judged: the loaded rows are numbered after the keys already in the table.
     """
     target = spark.table(table)
     known = {f.name: f for f in target.schema.fields}
+    key = identity[0] if identity else None
     if file_type.upper() == "PARQUET":
-        rows = spark.read.parquet(path).select(*columns)
+        rows = spark.read.parquet(path).select(*columns).withColumn(_BAD, F.lit(None).cast("string"))
     else:
-        schema = StructType([known.get(c, StructField(c, StringType())) for c in columns])
-        rows = _read_checked(spark, path, schema, max_errors, options)
-    key = identity[0] if identity else None
-    present = set(rows.columns) - {key}
-    filled = rows.select(
+        # The refused key is read as text, so whatever it holds it parses.
+        fields = [StructField(c, StringType()) if c == key or c not in known else known[c] for c in columns]
+        options = {"columnPruning": "false", **options}
+        marked = StructType([*fields, StructField(_BAD, StringType())])
+        rows = spark.read.schema(marked).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, **options).csv(path)
+    bad = F.col(_BAD).isNotNull() | _broken(not_null or [], max_lengths or {})
+    # Hashing all columns keeps them all in the scan: a pruned column is not parsed.
+    found, _ = rows.agg(F.count_if(bad), F.bit_xor(F.xxhash64(*columns))).first()
+    if found > max_errors:
+        raise TooManyErrors(f"{found} bad rows in {path}, {max_errors} allowed")
+    good = rows.where(~bad)
+    present = set(columns) - {key}
+    filled = good.select(
         *[
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields
@@ -110,3 +132,7 @@ def copy_into(
     if identity:
         filled = append_members(target, filled, identity[1], key)
     filled.select(*target.columns).write.insertInto(table)
+    # Written, so that looking at some columns only cannot change what was bad.
+    left_out = rows.where(bad)
+    left_out.write.parquet(rejected := scratch(spark, "rejected"))
+    return spark.read.schema(left_out.schema).parquet(rejected)

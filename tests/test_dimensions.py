@@ -45,7 +45,7 @@ def test_time_dimension_grains(spark):
     first, last = dt.datetime(2024, 1, 1, 23, 59, 58), dt.datetime(2024, 1, 2, 0, 0, 1)
     seconds = dimensions.time_dimension(spark, first, last, 1).orderBy("TimeKey", "MinuteOfHour", "SecondOfMinute").collect()
     assert [(r.TimeKey, r.MinuteOfHour, r.SecondOfMinute) for r in seconds] == [
-        (2024010123, 59, 58), (2024010123, 59, 59), (2024010200, 0, 0), (2024010200, 0, 1),
+        (20240101235958, 59, 58), (20240101235959, 59, 59), (20240102000000, 0, 0), (20240102000001, 0, 1),
     ]
     assert dimensions.time_dimension(spark, first, last).count() == 2
 
@@ -114,3 +114,15 @@ def test_unmatched_keys_stay_visible(spark, rows):
     keyed = replace_keys(facts, [Lookup("name", dimension, "name", "key")])
     assert rows(keyed) == [(1, 7), (2, None)]
     assert rows(matched(keyed, ["key"])) == [(1, 7)]
+
+
+def test_a_change_before_the_current_row_is_refused(spark):
+    moved = spark.createDataFrame([(CUSTOMERS[0][0], CUSTOMERS[0][1], "Elsewhere")], "AltKey string, Name string, City string")
+    with pytest.raises(Exception, match="change before the current row"):
+        dimensions.keep_history(_loaded(spark), moved, "AltKey", "CustomerKey", D(1999, 1, 1)).collect()
+
+
+def test_aware_moments_count_in_utc(spark):
+    zone = dt.timezone(dt.timedelta(hours=2))
+    row = dimensions.time_dimension(spark, dt.datetime(2024, 1, 1, 1, 30, tzinfo=zone), dt.datetime(2024, 1, 1, 1, 30, tzinfo=zone), 60).first()
+    assert row.TimeKey == 202312312330

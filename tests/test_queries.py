@@ -28,3 +28,10 @@ def test_entry(spark):
     result = __spark_entry__.entry(spark)
     assert result.columns == ["CalendarYear", "CalendarQuarter", "TotalSales"]
     assert result.count() > 0
+
+
+def test_sorted_queries_come_in_order(spark, folder):
+    for name in ("sort_customers", "catalog_scan"):
+        ours = queries()[name](spark, folder).toArrow()
+        theirs = connect(folder).sql(oracle_sql()[name]).to_arrow_table()
+        assert [tuple(r.values()) for r in ours.select(theirs.column_names).to_pylist()] == [tuple(r.values()) for r in theirs.to_pylist()]

@@ -14,11 +14,11 @@ ACCESSORIES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0], ids=["native", "distributed"])
-def test_sample_listing(spark, rows, limit):
+@pytest.mark.parametrize("windows", [True, False])
+def test_sample_listing(spark, rows, windows):
     listed = [("Accessories", i, name, price) for i, (name, price, *_) in enumerate(ACCESSORIES)]
     df = spark.createDataFrame(listed, "category string, line int, name string, price double")
-    ranked = rank_within(df, ["category"], "price", ["line"], max_group_rows=limit)
+    ranked = rank_within(df, ["category"], "price", ["line"], windows=windows)
     assert rows(ranked.drop("category", "line")) == sorted(ACCESSORIES, key=repr)
 
 
@@ -36,16 +36,16 @@ def test_distributed_form_equals_window_functions(spark, rows, tiles, descending
             F.when(F.col("id") % 2 == 0, 5).when(F.col("id") % 17 == 3, None).otherwise(F.col("id") % 40).alias("v"),
         )
         arguments = (df, ["g"], "v", ["id"], descending, tiles)
-        native = rank_within(*arguments, max_group_rows=10**9)
-        assert rows(rank_within(*arguments, max_group_rows=0)) == rows(native)
+        native = rank_within(*arguments, windows=True)
+        assert rows(rank_within(*arguments)) == rows(native)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_known_group_size_decides_without_counting(spark, plan):
+def test_the_caller_chooses_the_form(spark, plan):
     df = spark.createDataFrame([("a", 1, 1)], "g string, v int, id int")
-    assert "Window" in plan(rank_within(df, ["g"], "v", ["id"], group_rows=1))
-    assert "rank(" not in plan(rank_within(df, ["g"], "v", ["id"], group_rows=10**9))
+    assert "rank(" in plan(rank_within(df, ["g"], "v", ["id"], windows=True))
+    assert "rank(" not in plan(rank_within(df, ["g"], "v", ["id"]))
 
 
 def test_a_group_is_needed(spark):

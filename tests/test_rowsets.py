@@ -158,3 +158,11 @@ def test_named_sources_and_formats(spark, path, database, rows):
     spark.sql(f"DROP TABLE {database}.stored")
     with pytest.raises(Exception, match="(?i)exist"):
         lake.table_as_select(df, f"{database}.stored", "stored", "files", "ParquetFormat")
+
+
+def test_filepath_in_folders_with_blanks_and_percent_signs(spark, path, rows):
+    for name in ("my dir", "50%+1"):
+        spark.range(2).write.parquet(f"{path}/{name}/year=2020")
+    df = spark.read.parquet(f"{path}/my dir/year=2020", f"{path}/50%+1/year=2020")
+    found = df.select(filepath("/*/year=*/*.parquet", 1).alias("a"), filepath("/my dir/year=*/*", 1).alias("b")).distinct()
+    assert rows(found) == sorted([("my dir", "2020"), ("50%+1", None)], key=repr)

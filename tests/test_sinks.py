@@ -116,16 +116,51 @@ def test_using_restores_the_database(spark, database):
 def test_equally_hashed_tables_join_without_a_shuffle(spark, database, plan):
     for name in ("l", "r"):
         df = spark.range(2000).selectExpr("id", "id * 2 AS v")
-        assert save_hashed(df, f"{database}.{name}", "id", 4, scratch(spark, "hashed"))
+        save_hashed(df, f"{database}.{name}", "id", 4, scratch(spark, "hashed"))
     left, right = spark.table(f"{database}.l"), spark.table(f"{database}.r")
     joined = left.hint("merge").join(right, "id")
     assert "Exchange" not in plan(joined) and joined.count() == 2000
 
 
-def test_one_crowded_key_is_not_hashed(spark, database, rows):
+def test_a_crowded_key_is_hashed_as_asked(spark, database, rows):
     skewed = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("id"))
-    assert not save_hashed(skewed, f"{database}.s", "id", 16, scratch(spark, "hashed"))
+    save_hashed(skewed, f"{database}.s", "id", 16, scratch(spark, "hashed"))
     assert rows(spark.table(f"{database}.s")) == rows(skewed)
+    described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {database}.s").collect()}
+    assert described["Num Buckets"] == "16"
+
+
+def test_measuring_a_side_needs_no_single_task_of_rows(spark, plan):
+    assert measured_bytes(spark.range(5).selectExpr("array(id) AS a")) is None
+    assert measured_bytes(spark.range(0)) == 0
+
+
+@pytest.mark.parametrize("partition_by", [None, ["p"]])
+def test_an_external_table_can_be_saved_from_its_own_files(spark, database, path, partition_by):
+    rows = spark.range(100).selectExpr("id", "cast(id % 3 AS string) AS p")
+    tables.save_external(rows, f"{database}.own", path, partition_by)
+    kept = tables.save_external(spark.read.schema(rows.schema).parquet(path).where("id < 50"), f"{database}.own", path, partition_by)
+    assert kept.count() == 50 and dict(kept.dtypes) == dict(rows.dtypes)
+
+
+def test_a_failed_swap_leaves_the_table_readable(spark, database):
+    tables.save_managed(spark.range(3), f"{database}.cur")
+    with pytest.raises(Exception, match="missing"):
+        tables.swap(spark, f"{database}.cur", f"{database}.missing", f"{database}.before")
+    assert spark.table(f"{database}.cur").count() == 3
+
+
+def test_one_verdict_per_row_in_a_bulk_load(spark, database, path):
+    spark.createDataFrame([("x,1,a",), ("y,2,b",), ("3,3,c",), ("4,4,long",), ("5,,d",), ("6,six,e",)], "value string").coalesce(1).write.text(path)
+    for limit, rules in ((1, {}), (2, {"not_null": ["code"]}), (3, {"not_null": ["code"], "max_lengths": {"name": 1}})):
+        name = f"{database}.stage{limit}"
+        spark.sql(f"CREATE TABLE {name} (k BIGINT, code BIGINT, name STRING) USING parquet")
+        arguments = (spark, name, ["k", "code", "name"], path, "CSV")
+        with pytest.raises(tables.TooManyErrors):
+            tables.copy_into(*arguments, max_errors=limit - 1, identity=("k", ["name"]), **rules)
+        assert spark.table(name).isEmpty()
+        left_out = tables.copy_into(*arguments, max_errors=limit, identity=("k", ["name"]), **rules)
+        assert left_out.count() == limit and spark.table(name).count() == 6 - limit
 
 
 def test_broadcast_only_within_the_size(spark, plan):

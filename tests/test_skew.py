@@ -4,8 +4,7 @@ import pytest
 from oracle import connect, differences
 from pyspark.sql import functions as F
 
-from millrace.operators import ranking
-from millrace.plans import registry
+from millrace.plans import registry, relational, warehouse
 from millrace.session import scratch
 
 
@@ -56,14 +55,13 @@ NAMES = [
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_values_hold_on_crowded_keys(spark, skewed, small_partitions, monkeypatch, name):
-    monkeypatch.setattr(ranking, "_native", ranking._distributed)
+def test_values_hold_on_crowded_keys(spark, skewed, small_partitions, name):
     query, sql = registry.queries()[name], registry.oracle_sql()[name]
     assert differences(query(spark, skewed), connect(skewed), sql) is None
 
 
-@pytest.mark.parametrize("name", ["rank_stores_by_year", "fact_sales_build"])
-def test_a_crowded_order_is_split_over_tasks(spark, skewed, small_partitions, name):
-    df = registry.queries()[name](spark, skewed)
+@pytest.mark.parametrize("query", [relational.revenue_by_store, warehouse.fact_sales_build])
+def test_a_crowded_order_is_split_over_tasks(spark, skewed, small_partitions, query):
+    df = query(spark, skewed)
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
