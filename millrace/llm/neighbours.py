@@ -44,7 +44,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _hashes(points: DataFrame, passes: int) -> DataFrame:
-    """(d, pass, hash, id, v): one row per vector and pass."""
+    """(d, pass, hash, id): one narrow row per vector and pass."""
 
     def run(batches):
         for batch in batches:
@@ -57,11 +57,11 @@ def _hashes(points: DataFrame, passes: int) -> DataFrame:
                     bits = (x @ planes > 0).astype(np.int64) << np.arange(HASHES - 1, -1, -1)
                     n = len(part)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(1), pa.array(np.full(n, p, np.int32)), pa.array(bits.sum(axis=1)), part.column(0), part.column(2)],
-                        ["d", "pass", "hash", "id", "v"],
+                        [part.column(1), pa.array(np.full(n, p, np.int32)), pa.array(bits.sum(axis=1)), part.column(0)],
+                        ["d", "pass", "hash", "id"],
                     )
 
-    return points.select("id", "d", "v").mapInArrow(run, "d int, pass int, hash bigint, id bigint, v array<double>")
+    return points.select("id", "d", "v").mapInArrow(run, "d int, pass int, hash bigint, id bigint")
 
 
 def window_links(points: DataFrame, threshold: float, passes: int, window: int) -> DataFrame:
@@ -100,7 +100,9 @@ def window_links(points: DataFrame, threshold: float, passes: int, window: int)
         moved = label != np.arange(len(ids))
         return pa.table({"a": pa.array(ids[label[moved]], pa.int64()), "b": pa.array(ids[moved], pa.int64())})
 
-    dealt = placed.withColumn("block", F.explode(blocks)).select("block", "place", "d", "pass", "id", "v")
+    # Only numbers are ordered and written; the vectors join on the way to the blocks.
+    dealt = placed.withColumn("block", F.explode(blocks)).join(points.select("id", "v"), "id")
+    dealt = dealt.select("block", "place", "d", "pass", "id", "v")
     return dealt.groupBy("block").applyInArrow(run, "a bigint, b bigint").where("a <> b").distinct()
 
 
@@ -167,8 +169,10 @@ def near_duplicates(
     An empty table gives no rows. Other columns are not read.
     """
     good = usable(vector_col)
-    double = F.transform(vector_col, lambda c: c.cast("double") + F.lit(0.0))  # -0.0 is 0.0
-    marked = rows.select(F.col(id_col).alias("id"), F.when(good, double).alias("v"))
+    # Components keep their type (floats take half the room of doubles); -0.0 becomes 0.0.
+    element = rows.schema[vector_col].dataType.elementType
+    plain = F.transform(vector_col, lambda c: F.when(c == 0, F.lit(0).cast(element)).otherwise(c))
+    marked = rows.select(F.col(id_col).alias("id"), F.when(good, plain).alias("v"))
     classes = marked.where("v IS NOT NULL").groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("d", F.size("v")), "vectors")
     links = staged(window_links(classes, threshold, passes, window), "links")

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from millrace.llm.common import staged
 
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 1024, 256
+SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 4096, 256
 _LONG = (1 << 63) - 1
 
 
