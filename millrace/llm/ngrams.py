@@ -139,29 +139,28 @@ def _vocabulary(key: tuple, words: pa.Table, shards: int) -> pa.Table:
 def _answer(key: tuple, blobs: pa.Table) -> pa.Table:
     """Build a gram shard's trie from all chunks' counts and answer every chunk."""
     asked = [_unpack_grams(d.as_py()) for d in blobs.column("data")]
-    context = np.concatenate([np.repeat(a[0], a[2]) for a in asked])
-    word, times = np.concatenate([a[3] for a in asked]), np.concatenate([a[4] for a in asked])
+    # Chunks repeat each other's bigrams: each distinct one is looked up once.
+    ids, at, context = np.unique(np.concatenate([a[0] for a in asked]), return_index=True, return_inverse=True)
+    sizes, word = np.concatenate([a[2] for a in asked]), np.concatenate([a[3] for a in asked])
+    span = int(word.max(initial=0)) + 1
+    grams, place = np.unique(np.repeat(context, sizes) * span + word, return_inverse=True)
+    times = np.bincount(place, np.concatenate([a[4] for a in asked]), len(grams))
+    rank, word = grams // span, grams % span
     seen = times > 0
-    context, word, times = context[seen], word[seen], times[seen]
-    order = np.lexsort((word, context))
-    context, word, times = context[order], word[order], times[order]
-    new = np.nonzero((np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))[0]
-    if len(new):
-        context, word, times = context[new], word[new], np.add.reduceat(times, new)
-    ids, at = np.unique(np.concatenate([a[0] for a in asked]), return_index=True)
     totals = np.concatenate([a[1] for a in asked])[at]
-    share = (times - DISCOUNT) / totals[np.searchsorted(ids, context)]
-    trie = Trie(context, word, share)
+    trie = Trie(ids[rank[seen]], word[seen], (times[seen] - DISCOUNT) / totals[rank[seen]])
     try:
-        found = [trie.query(a[0], a[2], a[3]) for a in asked]
+        codes, followers = trie.query(ids, np.bincount(rank, minlength=len(ids)), word)
     finally:
         trie.close()
+    codes = np.split(codes[place], np.cumsum([len(a[3]) for a in asked])[:-1])
+    followers = np.split(followers[context], np.cumsum([len(a[0]) for a in asked])[:-1])
     return pa.table(
         {
             "chunk": blobs.column("chunk"),
             "part": pa.array([-1 - key[0].as_py()] * len(asked), pa.int32()),
-            "data": pa.array([pack_ints(c, "<u2") for c, _ in found], pa.binary()),
-            "counts": pa.array([pack_ints(f, _U8) for _, f in found], pa.binary()),
+            "data": pa.array([pack_ints(c, "<u2") for c in codes], pa.binary()),
+            "counts": pa.array([pack_ints(f, _U8) for f in followers], pa.binary()),
         }
     )
 
