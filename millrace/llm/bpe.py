@@ -42,8 +42,7 @@ def _splitter(pattern: str):
     # White space is Unicode's property; this library's own class also holds four ASCII separators.
     for short, full in ((r"[^\s", r"[^\p{White_Space}"), (r"\s", r"\p{White_Space}"), (r"\S", r"\P{White_Space}")):
         pattern = pattern.replace(short, full)
-    find = regex.compile(pattern).findall
-    return lambda text: [w.encode("utf-8") for w in find(text)]
+    return regex.compile(pattern).findall
 
 
 def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,7 +55,7 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_
     shards = shard_count(docs.sparkSession)
     split = None
 
-    def pieces(text: str) -> list[bytes]:
+    def pieces(text: str) -> list[str]:
         nonlocal split
         split = split or _splitter(pattern)
         return split(text)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from millrace.session import scratch
 CHUNK_CHARS = 6_000_000
 # Rows of a chunk table: part is a word shard, or one of these.
 TEXT, HEADER = -1, -2
+# Compression level of everything packed.
+LEVEL = 6
 
 
 def shard_count(spark: SparkSession) -> int:
@@ -33,23 +36,23 @@ def shard_count(spark: SparkSession) -> int:
 
 
 def pack_ints(values: np.ndarray, kind: str = "<u4") -> bytes:
-    """Integers with their byte planes apart, deflated: high planes of small numbers take no room."""
+    """Integers with their byte planes apart, compressed: high planes of small numbers take no room."""
     width = np.dtype(kind).itemsize
-    return zlib.compress(values.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes(), 1)
+    return zstandard.compress(values.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes(), LEVEL)
 
 
 def unpack_ints(data: bytes, kind: str = "<u4") -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def pack_bytes(words: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, words), np.uint32, len(words))
-    return zlib.compress(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words), 1)
+    return zstandard.compress(np.uint32(len(words)).tobytes() + sizes.tobytes() + b"".join(words), LEVEL)
 
 
 def unpack_bytes(data: bytes) -> list[bytes]:
-    raw = zlib.decompress(data)
+    raw = zstandard.decompress(data)
     n = int(np.frombuffer(raw, np.uint32, 1)[0])
     ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)).tolist()
     return [raw[i:j] for i, j in zip([4 + 4 * n, *ends], ends)]
@@ -57,7 +60,7 @@ def unpack_bytes(data: bytes) -> list[bytes]:
 
 def chunked(
     docs: DataFrame,
-    split: Callable[[str], list[bytes]],
+    split: Callable[[str], list[bytes] | list[str]],
     shards: int,
     id_col: str,
     text_col: str,
@@ -69,7 +72,8 @@ def chunked(
     part TEXT: a document, data its word numbers; part HEADER: data the shard of
     each word number; any other part: data the words of that shard in order of
     their numbers, counts how often each stands in texts whose flag is true.
-    Numbers go by frequency in the chunk. A null text is an empty one.
+    Numbers go by frequency in the chunk. A null text is an empty one. Words that
+    ``split`` gives as text are stored in UTF-8.
     """
     kind = docs.schema[id_col].dataType
     flagged = F.lit(False) if flag is None else F.coalesce(flag, F.lit(False))
@@ -78,12 +82,12 @@ def chunked(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        numbers: dict[bytes, int] = {}
+        numbers: dict[bytes | str, int] = {}
         ids, flags, texts, size = [], [], [], 0
         id_type = None
 
         def flush() -> pa.RecordBatch:
-            words = list(numbers)
+            words = [w if isinstance(w, bytes) else w.encode("utf-8") for w in numbers]
             lengths = [len(t) for t in texts]
             every = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
             seen = np.bincount(every, minlength=len(words))
