@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.plans.inputs import products, table
+from millrace.plans.inputs import new_database, products, table
 from millrace.session import scratch
 from millrace.versioned.table import VersionedTable
 
@@ -96,6 +96,17 @@ def versioned_merge(spark, folder):
     return _priced(versioned.read())
 
 
+def versioned_sql_name(spark, folder):
+    """A view registered before the changes shows them: rows written again, removed and added."""
+    versioned = _created(spark, folder, "Size <= 25")
+    name = f"{new_database(spark)}.items"
+    versioned.register(name)
+    versioned.update("Category = 'PROMO'", {"Price": "Price * 0.9"})
+    versioned.delete("Size < 5")
+    versioned.append(_items(spark, folder, "Size > 25"))
+    return spark.sql(f"SELECT ProductID, Category, CAST(Price AS DOUBLE) AS Price, Size FROM {name}")
+
+
 def versioned_history(spark, folder):
     versioned = _appended(spark, folder)
     versioned.delete("Size = 50")
@@ -152,6 +163,14 @@ QUERIES = {
                 FROM ({_ITEMS}) WHERE Size NOT BETWEEN 30 AND 35"""
         ),
     ),
+    "versioned_sql_name": (
+        versioned_sql_name,
+        _as_double(
+            f"""SELECT ProductID, Category, CASE WHEN Category = 'PROMO' AND Size <= 25 THEN {_CUT} ELSE Price END AS Price,
+                       Size
+                FROM ({_ITEMS}) WHERE Size >= 5"""
+        ),
+    ),
     "versioned_history": (
         versioned_history,
         """SELECT CAST(version AS BIGINT) AS version, operation, count(*) AS row_count

@@ -2,7 +2,8 @@
 
 Layout below the table's path::
 
-    commits/00000003.json   one line: version, time, operation, data folders
+    commits/00000003.json   one line: version, time, operation, data folders,
+                            and the files in them that were replaced
     data/<folder>/          Parquet files of one commit, never rewritten
     staged/<folder>/        data of a commit that is not made yet
 
@@ -58,6 +59,8 @@ class Commit:
     schema: str
     # Last batch each streaming writer has committed.
     batches: dict[str, int] = field(default_factory=dict)
+    # Files in ``folders`` whose rows were written again; their names are unique.
+    dropped: list[str] = field(default_factory=list)
 
     @property
     def struct(self) -> StructType:
@@ -68,8 +71,12 @@ def _commit_name(version: int) -> str:
     return f"commits/{version:08d}.json"
 
 
+# Fixed by the layout: the folder of a data file.
+_FOLDER = "element_at(split(_metadata.file_path, '/'), -2)"
+
+
 def _folder_of(file_path: str) -> Column:
-    return F.regexp_extract(file_path, r"/data/([^/]+)/[^/]*$", 1)
+    return F.element_at(F.split(file_path, "/"), -2)
 
 
 def _milliseconds(moment: str | dt.date | dt.datetime) -> int:
@@ -103,7 +110,7 @@ class VersionedTable:
         table = cls(df.sparkSession, path)
         if table.exists():
             raise CommitConflict(f"{path} holds a table already")
-        table._commit(None, "create", df, [])
+        table._commit(None, "create", df)
         return table
 
     def exists(self) -> bool:
@@ -144,7 +151,26 @@ class VersionedTable:
 
     def read(self, version: int | None = None, timestamp: str | dt.date | None = None) -> DataFrame:
         commit = self.commit_at(version, timestamp)
-        return self._rows(commit.struct, commit.folders)
+        return self._rows(commit)
+
+    def register(self, name: str) -> None:
+        """Create or replace a view in the catalog that shows the newest version whenever it is used.
+
+        The view is kept as text, so commits of other writers show as well. It
+        reads replaced files too and drops their rows. Register again after an
+        overwrite with another schema.
+        """
+        folder, data, commits = _FOLDER, f"parquet.`{self.path}/data/*`", f"json.`{self.path}/commits`"
+        columns = ", ".join(f"`{c}`" for c in self.latest().struct.names)
+        # max_by takes arrays along, so one small aggregate finds the newest commit.
+        newest = f"SELECT max_by(folders, version) AS folders, max_by(dropped, version) AS dropped FROM {commits}"
+        self.spark.sql(
+            f"""CREATE OR REPLACE VIEW {name} AS
+                WITH newest AS ({newest}), gone AS (SELECT explode(dropped) AS file FROM newest)
+                SELECT {columns} FROM (SELECT *, {folder} AS _folder, _metadata.file_name AS _file FROM {data})
+                WHERE _folder IN (SELECT explode(folders) FROM newest)
+                  AND NOT EXISTS (SELECT 1 FROM gone WHERE gone.file = _file)"""
+        )
 
     def history(self) -> DataFrame:
         """version, timestamp and operation of every commit."""
@@ -171,7 +197,8 @@ class VersionedTable:
                 return base
             staged = staged or self._stage("append", rows)
             try:
-                return self._publish(base, "append", staged, [*base.folders, staged], base.schema, batch)
+                kept = (base.folders, base.dropped)
+                return self._publish(base, "append", staged, kept, base.schema, batch)
             except CommitConflict:
                 base = self.latest()
         self._files.delete(f"staged/{staged}")
@@ -182,15 +209,21 @@ class VersionedTable:
         base = self.latest()
         if batch and batch[1] <= base.batches.get(batch[0], -1):
             return base
-        return self._commit(base, "overwrite", df, [], batch)
+        return self._commit(base, "overwrite", df, batch=batch)
 
     def update(self, condition: str | Column, assign: dict[str, str | Column]) -> Commit:
-        """Set columns where a condition is true. Expressions see the old row."""
+        """Set columns where a condition is true. Expressions see the old row.
+
+        Only files that hold such a row are written again; without one there is
+        no new version. The same goes for ``delete``.
+        """
         base = self.latest()
         self._known(base, assign)
         hit = _truth(condition)
         touched = self._touched(base, lambda rows: rows.where(condition))
-        rows = self._rows(base.struct, touched)
+        if not touched:
+            return base
+        rows = self._rows(base, touched)
         values = []
         for f in base.struct.fields:
             if f.name in assign:
@@ -199,14 +232,15 @@ class VersionedTable:
                 values.append(F.when(hit, new).otherwise(F.col(f.name)).alias(f.name))
             else:
                 values.append(F.col(f.name))
-        return self._commit(base, "update", rows.select(*values), self._others(base, touched))
+        return self._commit(base, "update", rows.select(*values), touched)
 
     def delete(self, condition: str | Column) -> Commit:
         """Remove rows where a condition is true; NULL keeps the row."""
         base = self.latest()
         touched = self._touched(base, lambda rows: rows.where(condition))
-        rows = self._rows(base.struct, touched).where(~_truth(condition))
-        return self._commit(base, "delete", rows, self._others(base, touched))
+        if not touched:
+            return base
+        return self._commit(base, "delete", self._rows(base, touched).where(~_truth(condition)), touched)
 
     def merge(
         self,
@@ -237,7 +271,7 @@ class VersionedTable:
         marked = source.withColumn(_HIT, F.lit(True)).alias("s")
         # One source row at most per table row: a left join, so a key crowding
         # the table can be split over tasks.
-        joined = self._rows(base.struct, touched).alias("t").join(marked, matches, "left")
+        joined = self._rows(base, touched).alias("t").join(marked, matches, "left")
         hit = F.coalesce(F.col(_HIT), F.lit(False))
         if delete_when:
             joined = joined.where(~(hit & _truth(delete_when)))
@@ -250,11 +284,11 @@ class VersionedTable:
         ]
         result = joined.select(*changed)
         if insert:
-            # Folders without a match cannot hold a source key.
-            known = self._rows(base.struct, touched).select(*key).distinct()
+            # Files without a match cannot hold a source key.
+            known = self._rows(base, touched).select(*key).distinct()
             missing = source.join(known, key, "left_anti")
             result = result.unionByName(self._aligned(missing.select(*names), base))
-        return self._commit(base, "merge", result, self._others(base, touched))
+        return self._commit(base, "merge", result, touched)
 
     # ---- streaming ------------------------------------------------------------
 
@@ -276,7 +310,7 @@ class VersionedTable:
             reader = reader.option("maxFilesPerTrigger", max_files)
         rows = reader.parquet(f"{self.path}/data/*")
         folder = _folder_of("_metadata.file_path")
-        wanted = ~folder.isin(replaced) if replaced else F.lit(True)
+        wanted = ~folder.isin(replaced) & ~F.col("_metadata.file_name").isin(start.dropped)
         if not ignore_changes:
             appended = folder.rlike(f"^({'|'.join(_APPENDING)})-") | folder.isin(start.folders)
             message = F.concat(F.lit("rows were rewritten after the stream began: "), folder)
@@ -313,22 +347,39 @@ class VersionedTable:
                     if not self._files.exists(f"data/{folder}"):
                         raise
 
-    def _rows(self, schema: StructType, folders: list[str]) -> DataFrame:
+    def _rows(self, commit: Commit, files: list[tuple[str, str]] | None = None) -> DataFrame:
+        """Rows of a version, or of some (folder, file) of it. Other files are pruned from the scan."""
+        folders = commit.folders if files is None else sorted({folder for folder, _ in files})
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{f}" for f in folders])
+            return self.spark.createDataFrame([], commit.struct)
+        rows = self.spark.read.schema(commit.struct).parquet(*[f"{self.path}/data/{f}" for f in folders])
+        name = F.col("_metadata.file_name")
+        if files is not None:
+            return rows.where(name.isin([file for _, file in files]))
+        return rows.where(~name.isin(commit.dropped)) if commit.dropped else rows
+
+    def _touched(self, commit: Commit, pick) -> list[tuple[str, str]]:
+        """(folder, file) of files holding rows the change applies to; the others are kept as they are.
 
-    def _touched(self, commit: Commit, pick) -> list[str]:
-        """Folders holding rows the change applies to; the others are kept as they are."""
+        The driver sees names of files, never rows.
+        """
         if not commit.folders:
             return []
-        rows = self._rows(commit.struct, commit.folders)
-        files = pick(rows.withColumn("_file", F.col("_metadata.file_path"))).select("_file").distinct()
-        return sorted(row[0] for row in files.select(_folder_of("_file")).distinct().collect())
-
-    @staticmethod
-    def _others(commit: Commit, touched: list[str]) -> list[str]:
-        return [f for f in commit.folders if f not in set(touched)]
+        rows = self._rows(commit).withColumns({"_path": F.col("_metadata.file_path"), "_file": F.col("_metadata.file_name")})
+        files = pick(rows).select(_folder_of("_path").alias("_folder"), "_file").distinct()
+        return sorted((row["_folder"], row["_file"]) for row in files.collect())
+
+    def _left(self, base: Commit | None, touched: list[tuple[str, str]] | None) -> tuple[list[str], list[str]]:
+        """Folders and dropped files of a version without the touched files (None: without any row)."""
+        if base is None or touched is None:
+            return [], []
+        dropped, folders = set(base.dropped) | {file for _, file in touched}, list(base.folders)
+        for folder in {folder for folder, _ in touched}:
+            files = set(self._files.names(f"data/{folder}"))
+            if files <= dropped:
+                folders.remove(folder)
+                dropped -= files
+        return folders, sorted(dropped)
 
     @staticmethod
     def _known(commit: Commit, assigned: dict) -> None:
@@ -355,28 +406,29 @@ class VersionedTable:
         base: Commit | None,
         operation: str,
         df: DataFrame,
-        kept: list[str],
+        touched: list[tuple[str, str]] | None = None,
         batch: tuple[str, int] | None = None,
     ) -> Commit:
         schema = base.schema if base and operation != "overwrite" else _nullable(df.schema).json()
         staged = self._stage(operation, df)
         try:
-            return self._publish(base, operation, staged, [*kept, staged], schema, batch)
+            return self._publish(base, operation, staged, self._left(base, touched), schema, batch)
         except CommitConflict:
             self._files.delete(f"staged/{staged}")
             raise
 
-    def _publish(self, base, operation, staged, folders, schema, batch) -> Commit:
+    def _publish(self, base, operation, staged, kept, schema, batch) -> Commit:
         version = base.version + 1 if base else 0
         now = int(time.time() * 1000)
         commit = Commit(
             version=version,
             timestamp_ms=max(now, base.timestamp_ms + 1) if base else now,
             operation=operation,
-            folders=folders,
+            folders=[*kept[0], staged],
             added=[staged],
             schema=schema,
             batches={**(base.batches if base else {}), **(dict([batch]) if batch else {})},
+            dropped=kept[1],
         )
         self._files.make_folder("commits")
         try:
