@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.tables import create_database
-from millrace.session import scratch
+from millrace.session import scratch, temporary
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,8 +16,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def new_database(spark: SparkSession) -> str:
-    """Database with a name of its own, its tables in the shared scratch folder."""
-    return create_database(spark, f"millrace_{uuid.uuid4().hex}", scratch(spark, "database"))
+    """Database with a name of its own, its tables in the shared scratch folder; released with it."""
+    return temporary(spark, "DATABASE", create_database(spark, f"millrace_{uuid.uuid4().hex}", scratch(spark, "database")))
 
 
 def money(column: str, digits: int = 2) -> Column:

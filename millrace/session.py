@@ -19,6 +19,8 @@ LOCAL_SETTINGS = {
 }
 
 _own_scratch: str | None = None
+# Catalog entries made for intermediate results: (application, DATABASE or TABLE, name).
+_temporary: list[tuple[str, str, str]] = []
 
 
 def build_session(app: str, cores: int | str = 8, **settings: str) -> SparkSession:
@@ -62,11 +64,21 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def temporary(spark: SparkSession, kind: str, name: str) -> str:
+    """Note a DATABASE or TABLE that goes with the scratch folder; gives its name."""
+    _temporary.append((spark.sparkContext.applicationId, kind, name))
+    return name
+
+
 def release_scratch(spark: SparkSession) -> None:
-    """Delete what this application has written to scratch.
+    """Delete what this application has written to scratch, and the catalog entries noted as temporary.
 
     For the end of a job: frames computed earlier may still read from there.
     """
+    application = spark.sparkContext.applicationId
+    for entry in [e for e in _temporary if e[0] == application]:
+        spark.sql(f"DROP {entry[1]} IF EXISTS {entry[2]}{' CASCADE' if entry[1] == 'DATABASE' else ''}")
+        _temporary.remove(entry)
     # Imported here because the file helper needs nothing from sessions.
     from millrace.files import Files
 
