@@ -58,9 +58,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, known: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long tokens that overlap no known span."""
-    found = [(m.start(), m.end(), m.group()) for m in CANDIDATE.finditer(text)]
-    return [c for c in found if not any(c[0] < b[1] and b[0] < c[1] for b in known)] if known else found
+    """Long tokens that overlap no known span; ``known`` is ordered by start."""
+    out, at, end = [], 0, 0
+    for m in CANDIDATE.finditer(text):
+        # The furthest end of the spans that begin before the token's end.
+        while at < len(known) and known[at][0] < m.end():
+            end = max(end, known[at][1])
+            at += 1
+        if end <= m.start():
+            out.append((m.start(), m.end(), m.group()))
+    return out
 
 
 class Automaton:
