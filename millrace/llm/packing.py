@@ -63,8 +63,8 @@ def pack(
     """(id_col, piece, first_word, n_words, bin_id): every word of every document in one bin.
 
     Null and blank texts are pieces of size 0 and are placed too. A null source
-    or cluster conflicts with nothing. Repeated rows are packed each. An empty
-    table gives no rows. Other columns are not read.
+    or cluster conflicts with nothing. Repeated rows are packed each, spread over
+    shards like others. An empty table gives no rows. Other columns are not read.
     """
     words = F.size(F.filter(F.split(text_of(text_col), WHITE), lambda x: x != ""))
     items = docs.select(
@@ -73,8 +73,11 @@ def pack(
         cluster.cast("string").alias("cluster"),
         words.cast("bigint").alias("words"),
     )
+    # Equal rows are counted and dealt by their number, so no group of them meets in one shard.
+    items = items.groupBy(*items.columns).agg(F.count("*").alias("n"))
+    items = items.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).drop("n")
     shards = max(1, -(-docs.count() // shard_rows))
-    spread = F.pmod(F.xxhash64("id", "source", "cluster", "words"), F.lit(shards))
+    spread = F.pmod(F.xxhash64("id", "source", "cluster", "words", "copy"), F.lit(shards))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
