@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import text_of
-from millrace.session import scratch
+from millrace.session import scratch, temporary
 
 CHUNK_CHARS = 6_000_000
 # Rows of a chunk table: part is a word shard, or one of these.
@@ -131,7 +131,8 @@ def chunked(
     schema = f"chunk bigint, part int, id {kind.simpleString()}, flag boolean, data binary, counts binary"
     # Bucketed, so that answers go to the chunks without shuffling the texts again.
     spark = docs.sparkSession
-    name, path = f"chunks_{uuid.uuid4().hex}", scratch(spark, "chunks")
+    name = temporary(spark, "TABLE", f"{spark.catalog.currentDatabase()}.chunks_{uuid.uuid4().hex}")
+    path = scratch(spark, "chunks")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = picked.mapInArrow(run, schema).write.bucketBy(buckets, "chunk").option("path", path)
     writer.saveAsTable(name, format="parquet")
