@@ -25,6 +25,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the name with underscores after it, such that no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(column: str) -> Column:
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged
+from millrace.llm.common import free_name, staged
 
 RATIO, MIN_PAGES = 0.1, 10
 
@@ -40,19 +40,18 @@ def boilerplate(
 def without_boilerplate(
     pages: DataFrame, host: Column, lines: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
-    """``pages`` with two more columns: line_all and line_kept, arrays of lines in order.
+    """``pages`` with two more columns at the end: line_all and line_kept, arrays of lines in order.
 
     Null texts (null lines) give null arrays. An empty table gives no rows.
-    Repeated pages count as pages of their own.
+    Repeated pages count as pages of their own. Where ``pages`` has a column of
+    one of these names, the new one gets an underscore after its name.
     """
-    clash = {"line_host", "line_all", "line_kept", "bad"} & {c.lower() for c in pages.columns}
-    if clash:
-        raise ValueError(f"columns would clash: {sorted(clash)}")
+    every, left, key, worst = (free_name(pages, n) for n in ("line_all", "line_kept", "line_host", "line_bad"))
     # Written first: its size is then known, so a small list is sent to the pages
     # instead of shuffling their texts.
-    bad = staged(boilerplate(pages, host, lines, ratio, min_pages), "boilerplate")
-    keyed = pages.withColumns({"line_host": F.coalesce(host.cast("string"), F.lit("")), "line_all": lines})
-    kept = F.when(F.col("bad").isNull(), F.col("line_all")).otherwise(
-        F.filter("line_all", lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("bad"), F.xxhash64(x)))
+    bad = staged(boilerplate(pages, host, lines, ratio, min_pages), "boilerplate").toDF(key, worst)
+    keyed = pages.withColumns({key: F.coalesce(host.cast("string"), F.lit("")), every: lines})
+    kept = F.when(F.col(worst).isNull(), F.col(every)).otherwise(
+        F.filter(every, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(worst), F.xxhash64(x)))
     )
-    return keyed.join(bad, "line_host", "left").withColumn("line_kept", kept).drop("bad", "line_host")
+    return keyed.join(bad, key, "left").select(*pages.columns, every, kept.alias(left))

@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import text_of, words_of
+from millrace.llm.common import free_name, text_of, words_of
 
 BUCKET_BITS = 20
 STEM = 5
 MARKS = b".,;:!?\"'()[]{}<>*_-"
 # Rows the model may be fitted on, a documented bound: about 2 KB of term ids each.
 MAX_TRAIN = 20_000
+# Ranges of the hash that are counted to find where the choice of rows ends.
+RANGE_BITS = 12
 THRESHOLD = 0.3
 
 
@@ -119,6 +121,17 @@ def train(
     return Model(float(params[0][0]), buckets, params[1], params[2])
 
 
+def _last_range(known: DataFrame, wanted: int) -> int:
+    """The hash range in which the ``wanted`` smallest hashes end; at most 2 ** RANGE_BITS counts are read."""
+    counts = known.groupBy(F.shiftright("h", 64 - RANGE_BITS).alias("r")).count()
+    total = 0
+    for row in sorted(counts.collect()):
+        total += row["count"]
+        if total >= wanted:
+            return row["r"]
+    return 1 << RANGE_BITS
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -136,8 +149,11 @@ def fit(
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(usable) if usable is not None else known
     known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("label"))
-    # At most max_train narrow rows, so the broadcast is bounded.
-    chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(max_train).select(F.col(id_col).alias("id"), "label")
+    known = known.select(F.col(id_col).alias("id"), "label").withColumn("h", F.xxhash64("id"))
+    # At most max_train narrow rows, so the broadcast is bounded; only those up to
+    # the range that holds the last one are sorted.
+    within = known.where(F.shiftright("h", 64 - RANGE_BITS) <= _last_range(known, max_train))
+    chosen = within.orderBy("h", "id").limit(max_train).select("id", "label")
     picked = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,10 +172,13 @@ def fit(
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with two more columns: tox_score in 0..1 and tox_predicted (1 from the threshold on).
+    """``docs`` with two more columns at the end: tox_score in 0..1 and tox_predicted (1 from the threshold on).
 
     Null texts count as empty; they get the score of a document without terms.
+    Where ``docs`` has a column of one of these names, the new one gets an
+    underscore after its name.
     """
+    names = [free_name(docs, n) for n in ("tox_score", "tox_predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = model.table()
@@ -169,12 +188,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             found = (scores >= THRESHOLD).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array(found)],
-                [*batch.schema.names, "tox_score", "tox_predicted"],
+                [*batch.schema.names, *names],
             )
 
-    clash = {"tox_score", "tox_predicted"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"columns would clash: {sorted(clash)}")
-    more = [T.StructField("tox_score", T.DoubleType()), T.StructField("tox_predicted", T.IntegerType())]
+    more = [T.StructField(n, t) for n, t in zip(names, (T.DoubleType(), T.IntegerType()), strict=True)]
     schema = T.StructType([*docs.schema.fields, *more])
     return docs.mapInArrow(run, schema)

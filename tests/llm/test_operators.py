@@ -195,6 +195,16 @@ def test_known_secrets_and_learnt_formats(spark, docs, none):
     assert secretscan.find(none, secretscan.learn(none)).count() == 0
 
 
+def test_candidates_overlap_no_known_span():
+    rng = random.Random(11)
+    for _ in range(300):
+        text = "".join(rng.choice(["a" * 17, "token=abcdefg", " ", "AKIA" + "Z" * 20, "0f" * 13, "-", "secret:x"]) for _ in range(12))
+        known = secretscan.base_spans(text)
+        found = [(m.start(), m.end(), m.group()) for m in secretscan.CANDIDATE.finditer(text)]
+        plain = [c for c in found if not any(c[0] < b[1] and b[0] < c[1] for b in known)]
+        assert secretscan.candidates(text, known) == plain
+
+
 def test_automaton_merges_states_and_sums_to_one():
     rng = random.Random(4)
     words = ["".join(rng.choices("ab01", k=rng.randrange(1, 9))) for _ in range(400)]
@@ -307,8 +317,10 @@ def test_boilerplate_lines(spark):
     kept = {r["page_id"]: r["line_kept"] for r in found.collect()}
     assert kept[3] == ["body 3", "", "foot 3"] and kept[51] == ["menu", "x"]  # too few pages on host g
     assert kept[90] is None and kept[91] == [""] and kept[92] == []
-    with pytest.raises(ValueError):
-        lines.without_boilerplate(pages.withColumn("bad", F.lit(1)), F.col("host"), F.split("text", "\n"))
+    odd = pages.withColumns({c: F.lit(1) for c in ("bad", "line_host", "line_kept", "line_bad")})
+    same = lines.without_boilerplate(odd, F.col("host"), F.split("text", "\n"), ratio=0.3, min_pages=5)
+    assert same.columns == [*odd.columns, "line_all", "line_kept_"]
+    assert {r["page_id"]: r["line_kept_"] for r in same.collect()} == kept
 
 
 def test_toxicity_learns_a_pair_that_single_terms_do_not_show(spark, docs, none):
@@ -325,6 +337,10 @@ def test_toxicity_learns_a_pair_that_single_terms_do_not_show(spark, docs, none)
     scored = toxicity.score(rows, model).where("doc_id % 4 = 2").collect()
     assert sum(r["tox_predicted"] == r["toxic"] for r in scored) >= 0.95 * len(scored)
     assert toxicity.score(docs, model).count() == docs.count() and toxicity.score(none, model).count() == 0
+    few = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), max_train=100)
+    assert few.bias != model.bias
+    odd = toxicity.score(rows.withColumn("TOX_score", F.lit("x")), model)
+    assert odd.columns[-2:] == ["tox_score_", "tox_predicted"] and odd.where("tox_score_ >= 0.3 AND tox_predicted = 0").isEmpty()
     empty = toxicity.fit(none, rows.select("doc_id", "toxic"))
     assert {r["tox_score"] for r in toxicity.score(docs, empty).collect()} == {float(1 / (1 + np.exp(40.0)))}
 
@@ -367,3 +383,11 @@ def test_packing_keeps_all_words_without_conflicts(docs, none):
     shared = Counter((r["bin_id"], sources[r["doc_id"]]) for r in found if sources[r["doc_id"]])
     assert max(shared.values()) == 1
     assert packing.pack(none, F.xxhash64("text")).count() == 0
+
+
+def test_equal_rows_are_dealt_to_many_shards(spark):
+    rows = spark.createDataFrame([(1, "a b c", "s")] * 900, "doc_id bigint, text string, source string")
+    found = packing.pack(rows, F.xxhash64("text"), shard_rows=100).collect()
+    assert len(found) == 900 and len({r["bin_id"] for r in found}) == 900
+    sizes = Counter(r["bin_id"] // packing.SHARD_BINS for r in found)
+    assert len(sizes) == 9 and max(sizes.values()) < 200
