@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,6 +19,13 @@ class Lookup:
     key: str
 
 
+def expect_skew_handling(spark: SparkSession) -> None:
+    """Warn a session that would leave a crowded key of a join to one task."""
+    for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if spark.conf.get(name, "true").lower() != "true":
+            warnings.warn(f"{name} is off: a crowded key is joined by one task", stacklevel=3)
+
+
 def replace_keys(source: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Swap every business key for the dimension's key; NULL where none matches.
 
@@ -26,6 +34,7 @@ def replace_keys(source: DataFrame, lookups: list[Lookup]) -> DataFrame:
     split by adaptive skew handling, and a small dimension is broadcast when
     Spark's own size estimate is below its threshold.
     """
+    expect_skew_handling(source.sparkSession)
     for lookup in lookups:
         keys = lookup.dimension.select(
             F.col(lookup.business_key).alias(lookup.column), F.col(lookup.key)
@@ -53,6 +62,7 @@ def point_in_time(facts: DataFrame, day: Column, lookup: Lookup) -> DataFrame:
     An equi-join on the business key with the validity range as residual
     condition: the few history rows of a member are compared, nothing else.
     """
+    expect_skew_handling(facts.sparkSession)
     history = lookup.dimension.select(
         F.col(lookup.business_key).alias("_member"), lookup.key, "ValidFrom", "ValidTo"
     )

@@ -17,6 +17,19 @@ _TIE, _ID, _RANGE, _BEFORE = "_tie", "_row_id", "_range", "_rows_before"
 _ROW_BITS = 33
 
 
+# Plan nodes that read the same rows in the same order whenever a task is repeated.
+_STEADY = ("FileSourceScanExec", "BatchScanExec", "LocalTableScanExec", "RangeExec")
+
+
+def _steady(node) -> bool:
+    """Whether a physical plan reads such sources only and shuffles nothing."""
+    kind, children = node.getClass().getSimpleName(), node.children()
+    if children.isEmpty():
+        return kind in _STEADY
+    shuffles = any(word in kind for word in ("Exchange", "Limit", "TakeOrdered"))
+    return not shuffles and all(_steady(children.apply(i)) for i in range(children.size()))
+
+
 def _stored(df: DataFrame) -> DataFrame:
     """The frame itself if its rows come straight from files, else a written copy.
 
@@ -24,7 +37,7 @@ def _stored(df: DataFrame) -> DataFrame:
     place could change. The copy also spares computing the input twice: once to
     sample range bounds and once to shuffle.
     """
-    if "Exchange" not in df._jdf.queryExecution().executedPlan().toString():
+    if _steady(df._jdf.queryExecution().executedPlan()):
         return df
     path = scratch(df.sparkSession, "input")
     df.write.parquet(path)

@@ -188,6 +188,25 @@ def copy_into_maxerrors(spark, folder):
     return spark.table(name)
 
 
+def copy_into_constraints(spark, folder):
+    """Rows without a category or with a long name break the table's rules; loaded and left out are all rows."""
+    name = f"{new_database(spark)}.StageProduct"
+    create_table(spark, name, "ProductID BIGINT, ProductName STRING, Category STRING")
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("ProductID"),
+        F.col("p_name").alias("ProductName"),
+        F.nullif("p_type", F.lit("PROMO")).alias("Category"),
+    )
+    path = write_csv(parts, header=False)
+    allowed = parts.where("Category IS NULL OR char_length(ProductName) > 9").count()
+    left_out = tables.copy_into(
+        spark, name, parts.columns, path, "CSV", max_errors=allowed,
+        not_null=["Category"], max_lengths={"ProductName": 9},
+    )
+    loaded = spark.table(name).withColumn("loaded", F.lit(True))
+    return loaded.unionByName(left_out.select(*parts.columns, F.lit(False).alias("loaded")))
+
+
 def rename_swap(spark, folder):
     """The current table is archived, the rebuilt one takes its name."""
     database = new_database(spark)
@@ -293,6 +312,11 @@ QUERIES = {
         copy_into_maxerrors,
         "SELECT p_partkey AS ProductID, p_name AS ProductName, p_size AS Size FROM part WHERE p_brand <> 'Brand#7'",
     ),
+    "copy_into_constraints": (
+        copy_into_constraints,
+        """SELECT p_partkey AS ProductID, p_name AS ProductName, nullif(p_type, 'PROMO') AS Category,
+                  p_type <> 'PROMO' AND length(p_name) <= 9 AS loaded FROM part""",
+    ),
     "rename_swap": (
         rename_swap,
         f"SELECT CustomerNo, lower(City) AS City, City AS OldCity FROM ({CUSTOMERS_SQL})",

@@ -255,8 +255,9 @@ class VersionedTable:
         ``update`` maps columns to expressions over ``t`` (table) and ``s``
         (source); without it all columns of a matched row are taken from the
         source, NULLs included. Matched rows meeting ``delete_when`` go; source
-        rows without a match are added. The source is evaluated several times,
-        so hand in a stored one. A key repeated in the source is an error.
+        rows without a match are added. Without a row to change or add there is
+        no new version. The source is evaluated several times, so hand in a
+        stored one. A key repeated in the source is an error.
         """
         base = self.latest()
         names = base.struct.names
@@ -287,7 +288,11 @@ class VersionedTable:
             # Files without a match cannot hold a source key.
             known = self._rows(base, touched).select(*key).distinct()
             missing = source.join(known, key, "left_anti")
+            if not touched and missing.isEmpty():
+                return base
             result = result.unionByName(self._aligned(missing.select(*names), base))
+        elif not touched:
+            return base
         return self._commit(base, "merge", result, touched)
 
     # ---- streaming ------------------------------------------------------------

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.operators import keys
 from millrace.operators.keys import append_members, assign_keys, new_members, next_key, ordered_positions
 
 
@@ -56,3 +57,13 @@ def test_appended_members_continue_the_keys(spark, rows):
     staged = spark.createDataFrame([("d",), ("a",), ("c",)], "name string")
     added = append_members(dimension, new_members(staged, dimension, ["name"]), ["name"], "key")
     assert rows(added) == [(8, "c"), (9, "d")]
+
+
+def test_only_frames_straight_from_files_are_not_copied(spark, path):
+    spark.range(20).withColumn("Exchange", F.lit(1)).write.parquet(path)
+    files = spark.read.parquet(path)
+    assert keys._stored(files.where("Exchange = 1")).inputFiles() == files.inputFiles()
+    kept = files.where("id < 9").cache()
+    for name, unsteady in {"shuffled": files.repartition(2), "cut": files.limit(5), "cached": kept}.items():
+        assert keys._stored(unsteady).inputFiles() != files.inputFiles(), name
+    kept.unpersist()

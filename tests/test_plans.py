@@ -28,6 +28,10 @@ def test_filters_reach_the_scan(spark, folder, plan):
     assert "In(p_type, [ECONOMY,PROMO])" in plan(_query(spark, folder, "filter_in_list"))
 
 
+def test_a_point_lookup_reaches_the_scan(spark, folder, plan):
+    assert "EqualTo(c_custkey,7)" in plan(_query(spark, folder, "point_lookup"))
+
+
 def test_partition_predicate_prunes_folders(spark, folder, plan):
     text = plan(_query(spark, folder, "filter_partition_pruned"))
     assert re.search(r"PartitionFilters: \[isnotnull\(Year.*= 2000", text)

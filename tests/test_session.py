@@ -3,6 +3,7 @@ import os
 import pytest
 
 from millrace import session
+from millrace.plans import inputs
 
 
 def test_the_named_folder_is_used(spark):
@@ -20,6 +21,17 @@ def test_scratch_folders_are_new_and_released_together(spark, path, monkeypatch)
     assert not any(os.path.exists(folder) for folder in folders)
 
 
+def test_databases_and_tables_are_released_with_the_folder(spark, path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_root", lambda _: path)
+    database = inputs.new_database(spark)
+    spark.range(3).write.saveAsTable(f"{database}.t")
+    name = session.temporary(spark, "TABLE", f"default.kept_{os.getpid()}")
+    spark.range(3).write.option("path", session.scratch(spark, "table")).saveAsTable(name)
+    session.release_scratch(spark)
+    assert not spark.catalog.databaseExists(database) and not spark.catalog.tableExists(name)
+    assert not os.path.exists(f"{path}/millrace/{spark.sparkContext.applicationId}")
+
+
 class _Cluster:
     """A session of a cluster that names no shared folder."""
 

@@ -146,6 +146,13 @@ def test_merge_into_repeated_table_keys(spark, table, rows):
     assert rows(table.read()) == [(1, "both", 2.0), (1, "both", 2.0), (2, "Bikes", 20.0), (3, None, 30.0)]
 
 
+def test_merge_that_hits_nothing_makes_no_version(spark, table):
+    before = table.latest().version
+    assert table.merge(more(spark, (99, "z", 1.0)), ["id"], insert=False).version == before
+    assert table.merge(more(spark, (99, "z", 1.0)).where("id < 0"), ["id"]).version == before
+    assert table.merge(more(spark, (99, "z", 1.0)), ["id"]).version == before + 1
+
+
 def test_merge_refuses_repeated_source_keys(spark, table):
     with pytest.raises(QualityError):
         table.merge(more(spark, (1, "a", 1.0), (1, "b", 2.0)), ["id"])
