@@ -1,4 +1,4 @@
-"""The ten operators as queries over the test tables, with SQL where it can express them."""
+"""The operators as queries over the test tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, secretscan, simhash, topk, toxicity
+from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, repair, secretscan, simhash, topk, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
@@ -146,6 +146,29 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, cluster=F.xxhash64("text"))
 
 
+# What happens to a turn, by crc32 of "conv_id:turn" modulo 20.
+DAMAGE_FOLDS, DROPPED, EMPTIED, UNPOINTED, REPEATED, RENAMED = 20, 0, 1, 2, 3, 4
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversation rows with faults put in; ``kept`` is false for a row that is dropped."""
+    space = F.lit(" ")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    fold = F.crc32(name.cast("binary")) % DAMAGE_FOLDS
+    text = F.coalesce("text", space)
+    text = F.when(fold == EMPTIED, "").when(fold == UNPOINTED, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(fold == RENAMED, "user").otherwise(F.coalesce("role", space))
+    copies = F.when(fold == REPEATED, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return turns.select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"), (fold != DROPPED).alias("kept"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.summary(repair.repair(damaged(table(spark, folder, "conversations")), present=F.col("kept")))
+
+
 QUERIES = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
@@ -157,5 +180,6 @@ QUERIES = {
     "op8_site_lines": (op8_site_lines, _OP8_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_packing": (op10_packing, None),
+    "op11_structure_repair": (op11_structure_repair, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
