@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, repair, secretscan, simhash, topk, toxicity
+from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, repair, secretscan, simhash, tokenfiles, topk, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
@@ -169,6 +169,17 @@ def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.summary(repair.repair(damaged(table(spark, folder, "conversations")), present=F.col("kept")))
 
 
+# The definition of the word tokenizer, and the id that ends a document.
+WORDS_FILE, END_ID = public_tokenizers.path("word_bpe_49k.json"), 2
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    with open(WORDS_FILE, encoding="utf-8") as file:
+        definition = file.read()
+    manifest = tokenfiles.write(table(spark, folder, "documents"), definition, end_id=END_ID)
+    return tokenfiles.read(manifest, "bigint")
+
+
 QUERIES = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
@@ -181,5 +192,6 @@ QUERIES = {
     "op9_toxicity": (op9_toxicity, None),
     "op10_packing": (op10_packing, None),
     "op11_structure_repair": (op11_structure_repair, None),
+    "op12_token_files": (op12_token_files, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
