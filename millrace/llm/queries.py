@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, lines, neighbours, ngrams, packing, repair, secretscan, simhash, tokenfiles, topk, toxicity
+from millrace.llm import bpe, chat, lexical, lines, neighbours, ngrams, packing, repair, secretscan, simhash, tokenfiles, topk, toxicity
 from millrace.llm.common import bucket_of_id, table
 
 # Fixed value: the fold whose labels the toxicity model must not see.
@@ -180,6 +182,36 @@ def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read(manifest, "bigint")
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical.index(table(spark, folder, "documents"))
+    return lexical.search(found, table(spark, folder, "benchmark"), k=10)
+
+
+# The terms asked for, and letters that are lowered.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_OP13_SQL = f"""
+WITH split AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS terms FROM documents),
+sized AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n FROM split WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM split) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, corpus GROUP BY term),
+asked AS (
+    SELECT item_id, term, count(*) AS c
+    FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+    SELECT item_id, doc_id,
+           CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total)))) AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sized USING (doc_id), corpus GROUP BY ALL),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 QUERIES = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_simhash_near_duplicates": (op2_simhash_near_duplicates, None),
@@ -193,5 +225,6 @@ QUERIES = {
     "op10_packing": (op10_packing, None),
     "op11_structure_repair": (op11_structure_repair, None),
     "op12_token_files": (op12_token_files, None),
+    "op13_lexical_search": (op13_lexical_search, _OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
