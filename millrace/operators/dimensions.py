@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import calendar_columns
 from millrace.operators.keys import append_members, assign_keys, new_members
-from millrace.operators.quality import require_business_key
+from millrace.operators.quality import require_business_key, require_constraints, require_unique
+from millrace.session import scratch
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -107,7 +108,8 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
 
     Validity is half open: a row holds for ``ValidFrom <= day < ValidTo``. New
     members are added as well; members whose attributes agree stay as they are.
-    A change dated before the current row of its member raises, naming the member.
+    A change dated before the current row of its member, or on the day that row
+    began, raises and names the member: ``split_history`` takes such changes.
     """
     require_business_key(staged, business_key, "staged rows")
     columns = dimension.columns
@@ -115,8 +117,8 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
     attributes = [c for c in columns if c not in own]
     current = dimension.where("IsCurrent").alias("cur")
     same_member = F.col(f"stg.{business_key}") == F.col(f"cur.{business_key}")
-    late = F.concat(F.lit("change before the current row of "), F.col(f"stg.{business_key}").cast("string"))
-    since = F.when(F.col("cur.ValidFrom") > F.lit(changed_on), F.raise_error(late)).otherwise(F.lit(changed_on))
+    late = F.concat(F.lit("change not after the current row of "), F.col(f"stg.{business_key}").cast("string"))
+    since = F.when(F.col("cur.ValidFrom") >= F.lit(changed_on), F.raise_error(late)).otherwise(F.lit(changed_on))
     arriving = (
         staged.alias("stg")
         .join(current, same_member, "left")
@@ -143,6 +145,55 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
     return kept.select(*columns).unionByName(added)
 
 
+def split_history(dimension: DataFrame, changes: DataFrame, business_key: str, key: str, changed_on: str) -> DataFrame:
+    """Fit changes into a history, whenever they took effect.
+
+    ``changes`` has the attributes of members and the day ``changed_on`` from which
+    they held; a member may change several times in one load, also before rows
+    that are there already. A change splits the row it falls into; one on the day a
+    row began replaces that row's attributes in place. Neighbours that agree become
+    one row, which keeps the key of its first row that had one. No row is empty,
+    none overlap; other members are not touched. Repeated changes count once; two
+    different ones of a member on one day, or one without a member or day, raise.
+    """
+    columns = dimension.columns
+    own = {key, business_key, "ValidFrom", "ValidTo", "IsCurrent"}
+    attributes = [c for c in columns if c not in own]
+    arriving = changes.select(business_key, F.col(changed_on).cast("date").alias("ValidFrom"), *attributes).distinct()
+    require_unique(arriving, [business_key, "ValidFrom"], "changes")
+    require_constraints(arriving, [business_key, "ValidFrom"], {}, "changes")
+    members = arriving.select(business_key).distinct()
+    state = F.struct(*attributes).alias("state")
+    known = dimension.join(members, business_key, "left_semi").select(
+        business_key, "ValidFrom", state, F.col(key).alias("key"), F.col("ValidTo").alias("until"), F.lit(0).alias("late")
+    )
+    fresh = arriving.select(business_key, "ValidFrom", state, F.lit(1).alias("late"))
+    days = known.unionByName(fresh, allowMissingColumns=True).groupBy(business_key, "ValidFrom").agg(
+        F.max_by("state", "late").alias("state"), F.max("key").alias("key"), F.max("until").alias("until")
+    )
+    along = Window.partitionBy(business_key).orderBy("ValidFrom")
+    # The end of the row a change falls into; a change after a member's end opens it again.
+    until = F.last("until", ignorenulls=True).over(along)
+    until = F.when(until > F.col("ValidFrom"), until).otherwise(F.lit(OPEN_END))
+    ends = F.least(until, F.coalesce(F.lead("ValidFrom").over(along), F.lit(OPEN_END)))
+    agrees = F.lag("state").over(along).eqNullSafe(F.col("state")) & (F.lag("ends").over(along) == F.col("ValidFrom"))
+    first = ~F.coalesce(agrees, F.lit(False))
+    numbered = days.withColumn("ends", ends).withColumn("run", F.sum(first.cast("int")).over(along))
+    keyed = F.when(F.col("key").isNotNull(), F.col("ValidFrom"))
+    rows = numbered.groupBy(business_key, "run").agg(
+        F.min("ValidFrom").alias("ValidFrom"), F.max("ends").alias("ValidTo"), F.first("state").alias("state"),
+        F.min_by("key", keyed).alias(key),
+    ).select(
+        key, business_key, "state.*", "ValidFrom", "ValidTo", (F.col("ValidTo") == F.lit(OPEN_END)).alias("IsCurrent")
+    ).select(*columns)
+    path = scratch(dimension.sparkSession, "history")
+    rows.write.parquet(path)
+    rows = dimension.sparkSession.read.schema(rows.schema).parquet(path)
+    added = append_members(dimension, rows.where(F.col(key).isNull()), [business_key, "ValidFrom"], key)
+    untouched = dimension.join(members, business_key, "left_anti")
+    return untouched.select(*columns).unionByName(rows.where(F.col(key).isNotNull())).unionByName(added)
+
+
 def split_parent(child: DataFrame, attributes: list[str], key: str) -> tuple[DataFrame, DataFrame]:
     """Move attributes into a parent dimension; returns (parent, child with its key)."""
     parent = assign_keys(child.select(*attributes).distinct(), attributes, key)

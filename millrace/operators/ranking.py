@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.keys import ordered_positions
+from millrace.operators.ranges import RANGE, ROW, at_edges, stored_ranges, with_carried
 
 
 def _tile(row_number: Column, rows: Column, tiles: int) -> Column:
@@ -20,13 +20,6 @@ def _tile(row_number: Column, rows: Column, tiles: int) -> Column:
     ).otherwise(larger + F.floor((row_number - 1 - in_larger) / F.greatest(size, F.lit(1))) + 1)
 
 
-def _same(left: str, right: str, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return condition
-
-
 def _native(df, group, value, descending, tie_break, tiles):
     by_value = F.col(value).desc() if descending else F.col(value).asc()
     ranked = Window.partitionBy(*group).orderBy(by_value)
@@ -40,41 +33,59 @@ def _native(df, group, value, descending, tie_break, tiles):
     )
 
 
-def _distributed(df, group, value, descending, tie_break, tiles):
-    """All ranks from positions in one total order, whatever the group sizes.
+def _carried(rows: DataFrame, group: list[str], value: str) -> DataFrame:
+    """For the groups that reach into other ranges: what the earlier ranges hold of them.
 
-    * ``position`` runs over (group, value, tie break);
-    * a run is the set of rows with equal group and value, it starts at its
-      least position, and runs themselves are numbered the same way;
-    * a group starts at the least position of its runs.
+    A run is the rows of a group with one value. ``_rows`` and ``_runs`` count what
+    was before; ``_place`` is the place of the run that goes on from the range
+    before, NULL if none does; ``_total`` is the size of the group.
     """
-    directed = [F.col(c).asc() for c in group]
-    directed.append(F.col(value).desc() if descending else F.col(value).asc())
-    columns = df.columns
-    rows = ordered_positions(df, [*directed, *[F.col(c).asc() for c in tie_break]], "position")
-    runs = rows.groupBy(*group, value).agg(
-        F.min("position").alias("run_start"), F.count("*").alias("run_rows")
-    )
-    runs = ordered_positions(runs, directed, "run_position")
-    groups = runs.groupBy(*group).agg(
-        F.min("run_start").alias("group_start"),
-        F.min("run_position").alias("group_run"),
-        F.sum("run_rows").alias("group_rows"),
+    runs = at_edges(rows, group).groupBy(RANGE, *group, value).agg(F.count("*").alias("n"), F.min(ROW).alias("at"))
+    boxed = F.struct(value)
+    parts = runs.groupBy(RANGE, *group).agg(
+        F.sum("n").alias("rows"), F.count("*").alias("runs"), F.min_by(boxed, "at").alias("first"),
+        F.max_by(boxed, "at").alias("last"), F.max_by("n", "at").alias("last_rows"),
+    )
+    along = Window.partitionBy(*group).orderBy(RANGE)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_rows", F.coalesce(F.sum("rows").over(before), F.lit(0))).withColumn(
+        "goes_on", F.coalesce(F.lag("last").over(along).eqNullSafe(F.col("first")), F.lit(False)) & F.lag(F.lit(1)).over(along).isNotNull()
     )
-    # Both joins have one row per key on the right side, so a crowded key on the
-    # left side can be split over tasks by adaptive skew handling.
-    joined = (
-        rows.alias("r")
-        .join(runs.alias("u"), _same("r", "u", [*group, value]))
-        .join(groups.alias("g"), _same("r", "g", group))
+    # Where the last run of a range began, if it began in this range.
+    began = F.when((F.col("runs") > 1) | ~F.col("goes_on"), F.col("_rows") + F.col("rows") - F.col("last_rows") + 1)
+    parts = parts.withColumn("began", began)
+    return parts.select(
+        RANGE, *group, "_rows",
+        (F.coalesce(F.sum("runs").over(before), F.lit(0)) - F.sum(F.col("goes_on").cast("bigint")).over(so_far)).alias("_runs"),
+        F.when(F.col("goes_on"), F.last("began", ignorenulls=True).over(before)).alias("_place"),
+        F.sum("rows").over(Window.partitionBy(*group)).alias("_total"),
+    )
+
+
+def _distributed(df, group, value, descending, tie_break, tiles):
+    """All ranks from one total order: within each range by windows, then with what earlier ranges hold added."""
+    directed = F.col(value).desc() if descending else F.col(value).asc()
+    rows = stored_ranges(df, [*[F.col(c).asc() for c in group], directed, *[F.col(c).asc() for c in tie_break]])
+    of_group = Window.partitionBy(RANGE, *group)
+    ranked = of_group.orderBy(directed)
+    local = rows.select(
+        "*",
+        F.row_number().over(of_group.orderBy(directed, ROW)).alias("_number"),
+        F.rank().over(ranked).alias("_rank"),
+        F.dense_rank().over(ranked).alias("_step"),
+        F.count("*").over(of_group).alias("_here"),
     )
-    row_number = F.col("position") - F.col("group_start") + 1
+    joined = with_carried(local, _carried(rows, group, value), group, ["_rows", "_runs", "_place", "_total"])
+    rows_before, runs_before = (F.coalesce(c, F.lit(0)) for c in ("_rows", "_runs"))
+    row_number = rows_before + F.col("_number")
+    in_first_run = F.when(F.col("_step") == 1, F.col("_place"))
     return joined.select(
-        *[F.col(f"r.{c}") for c in columns],
+        *[F.col(c) for c in df.columns],
         row_number.cast("bigint").alias("Position"),
-        (F.col("run_start") - F.col("group_start") + 1).cast("bigint").alias("Place"),
-        (F.col("run_position") - F.col("group_run") + 1).cast("bigint").alias("Step"),
-        _tile(row_number, F.col("group_rows"), tiles).cast("bigint").alias("Tile"),
+        F.coalesce(in_first_run, rows_before + F.col("_rank")).cast("bigint").alias("Place"),
+        (runs_before + F.col("_step")).cast("bigint").alias("Step"),
+        _tile(row_number, F.coalesce("_total", "_here"), tiles).cast("bigint").alias("Tile"),
     )
 
 
@@ -90,9 +101,9 @@ def rank_within(
     """Append Position, Place, Step and Tile per group: ROW_NUMBER, RANK, DENSE_RANK and NTILE.
 
     Place and Step see ties in ``value``; Position and Tile use
-    ``tie_break`` so that they are repeatable. The numbers come from positions in
-    one total order, whatever the group sizes; with ``windows`` they come from
-    window functions, for groups that the caller knows to fit a task.
+    ``tie_break`` so that they are repeatable. The numbers come from one pass over
+    ranges of the total order, whatever the group sizes; with ``windows`` they come
+    from windows over whole groups, which the caller knows to fit a task.
     """
     if not group:
         raise ValueError("no group: use keys.ordered_positions to number a whole table")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import date_key
 from millrace.operators import dimensions, quality
-from millrace.operators.facts import Lookup, matched, point_in_time, replace_keys, unmatched
+from millrace.operators.facts import Lookup, as_of, matched, point_in_time, replace_keys, unmatched
 from millrace.operators.keys import append_members, new_members
 from millrace.plans.inputs import CUSTOMERS_SQL, customers, money, new_database, order_heads, order_lines, table
 from millrace.session import scratch
@@ -113,6 +113,44 @@ def fact_point_in_time_key(spark, folder):
     return point_in_time(orders, F.col("OrderDate"), lookup)
 
 
+def _late_changes(spark, folder):
+    """Changes of many kinds: several in one load, before other rows, on the day a row began, without effect."""
+    who = customers(spark, folder)
+
+    def change(segment, day, city):
+        return who.where(F.col("Segment") == segment).select(
+            "CustomerNo", "CustomerName", city.alias("City"), F.lit(day).cast("date").alias("ChangedOn")
+        )
+
+    city, east = F.col("City"), F.concat(F.lit("EAST "), "City")
+    return (
+        change("HOUSEHOLD", "1996-03-01", east).union(change("HOUSEHOLD", "1997-05-01", east))
+        .union(change("HOUSEHOLD", "1998-01-01", city)).union(change("HOUSEHOLD", "1999-09-09", F.upper(east)))
+        .union(change("BUILDING", "1995-01-15", east)).union(change("BUILDING", "1998-07-01", city))
+        .union(change("FURNITURE", "1990-01-01", east)).union(change("AUTOMOBILE", "1997-01-01", city))
+        .union(change("MACHINERY", "1997-02-03", east))
+    )
+
+
+def _late_history(spark, folder):
+    path = scratch(spark, "dimension")
+    _history(spark, folder).write.parquet(path)
+    return dimensions.split_history(
+        spark.read.parquet(path), _late_changes(spark, folder), "CustomerNo", "CustomerKey", "ChangedOn"
+    )
+
+
+def dim_scd2_late(spark, folder):
+    return _late_history(spark, folder)
+
+
+def fact_as_of_key(spark, folder):
+    """Each order with the customer row valid on its date, by one pass in order of customer and day."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("OrderDate"))
+    lookup = Lookup("o_custkey", _late_history(spark, folder), "CustomerNo", "CustomerKey")
+    return as_of(orders, F.col("OrderDate"), lookup)
+
+
 def dim_snowflake_split(spark, folder):
     """Address columns moved to a parent; one city is unknown (NULL) and still matched."""
     source = customers(spark, folder).withColumn("City", F.nullif("City", F.lit("NATION_3")))
@@ -229,6 +267,37 @@ _HISTORY = f"""
          CustomerNo, CustomerName, CASE WHEN Segment = 'BUILDING' THEN 'NEW ' || City ELSE City END,
          DATE '1998-07-01', DATE '9999-12-31', true
   FROM ({CUSTOMERS_SQL}) WHERE Segment IN ('BUILDING', 'MACHINERY')"""
+_LATE = f"""
+  WITH history AS ({_HISTORY}),
+  changes AS (
+    SELECT CustomerNo, CustomerName, Segment, City, unnest(CASE Segment
+             WHEN 'HOUSEHOLD' THEN [('1996-03-01', 'e'), ('1997-05-01', 'e'), ('1998-01-01', 'c'), ('1999-09-09', 'u')]
+             WHEN 'BUILDING' THEN [('1995-01-15', 'e'), ('1998-07-01', 'c')]
+             WHEN 'FURNITURE' THEN [('1990-01-01', 'e')] WHEN 'AUTOMOBILE' THEN [('1997-01-01', 'c')]
+             WHEN 'MACHINERY' THEN [('1997-02-03', 'e')] END) AS c
+    FROM ({CUSTOMERS_SQL})),
+  events AS (
+    SELECT CustomerNo, CustomerName, City, ValidFrom, CustomerKey, 0 AS late FROM history
+    UNION ALL
+    SELECT CustomerNo, CustomerName, CASE c[2] WHEN 'c' THEN City WHEN 'e' THEN 'EAST ' || City ELSE upper('EAST ' || City) END,
+           CAST(c[1] AS DATE), NULL, 1 FROM changes),
+  days AS (
+    SELECT CustomerNo, ValidFrom, any_value(CustomerName) AS CustomerName, arg_max(City, late) AS City, max(CustomerKey) AS CustomerKey
+    FROM events GROUP BY ALL),
+  marked AS (
+    SELECT *, CASE WHEN lag(City) OVER w = City THEN 0 ELSE 1 END AS fresh FROM days
+    WINDOW w AS (PARTITION BY CustomerNo ORDER BY ValidFrom)),
+  runs AS (SELECT *, sum(fresh) OVER (PARTITION BY CustomerNo ORDER BY ValidFrom) AS run FROM marked),
+  joined AS (
+    SELECT CustomerNo, any_value(CustomerName) AS CustomerName, any_value(City) AS City, min(ValidFrom) AS ValidFrom,
+           arg_min(CustomerKey, ValidFrom) FILTER (CustomerKey IS NOT NULL) AS CustomerKey
+    FROM runs GROUP BY CustomerNo, run),
+  closed AS (
+    SELECT *, coalesce(lead(ValidFrom) OVER (PARTITION BY CustomerNo ORDER BY ValidFrom), DATE '9999-12-31') AS ValidTo FROM joined)
+  SELECT coalesce(CustomerKey, (SELECT max(CustomerKey) FROM history)
+                  + row_number() OVER (PARTITION BY CustomerKey IS NULL ORDER BY CustomerNo, ValidFrom)) AS CustomerKey,
+         CustomerNo, CustomerName, City, ValidFrom, ValidTo, ValidTo = DATE '9999-12-31' AS IsCurrent
+  FROM closed"""
 _PLACED = f"SELECT CustomerNo, CustomerName, Segment, nullif(City, 'NATION_3') AS City, CountryRegion FROM ({CUSTOMERS_SQL})"
 
 # The fact table's columns are the ones asked for.
@@ -286,6 +355,13 @@ QUERIES = {
             FROM orders LEFT JOIN ({_HISTORY}) ON o_custkey = CustomerNo AND CAST(o_orderdate AS DATE) >= ValidFrom
                                               AND CAST(o_orderdate AS DATE) < ValidTo""",
     ),
+    "dim_scd2_late": (dim_scd2_late, _LATE),
+    "fact_as_of_key": (
+        fact_as_of_key,
+        f"""SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS OrderDate, CustomerKey
+            FROM orders LEFT JOIN ({_LATE}) ON o_custkey = CustomerNo AND CAST(o_orderdate AS DATE) >= ValidFrom
+                                           AND CAST(o_orderdate AS DATE) < ValidTo""",
+    ),
     "dim_snowflake_split": (
         dim_snowflake_split,
         f"""SELECT CustomerNo, CustomerName, Segment, City, CountryRegion,

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.ranking import rank_within
 
-# Sample listing: name, price, row number, rank, dense rank, quartile.
+# Fixed values, a published sample listing: name, price, row number, rank, dense rank, quartile.
 ACCESSORIES = [
     ("Widget", 8.99, 1, 1, 1, 1),
     ("Knicknak", 8.49, 2, 2, 2, 1),
@@ -44,8 +44,33 @@ def test_distributed_form_equals_window_functions(spark, rows, tiles, descending
 
 def test_the_caller_chooses_the_form(spark, plan):
     df = spark.createDataFrame([("a", 1, 1)], "g string, v int, id int")
-    assert "rank(" in plan(rank_within(df, ["g"], "v", ["id"], windows=True))
-    assert "rank(" not in plan(rank_within(df, ["g"], "v", ["id"]))
+    assert "_range" not in plan(rank_within(df, ["g"], "v", ["id"], windows=True))
+    ranged = plan(rank_within(df, ["g"], "v", ["id"]))
+    # Rows are read from their ranges and not shuffled again; only the carried table is exchanged.
+    rows = ranged[: ranged.index("BroadcastExchange")]
+    assert "_range" in rows and "Exchange hashpartitioning" not in rows and "SortMergeJoin" not in ranged
+
+
+def test_a_run_over_many_ranges(spark, rows):
+    """One value fills several ranges, with others before and after; NaN, negative zero and NULL are values too."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = [float("nan"), -0.0, 0.0, None, 3.5]
+        df = spark.createDataFrame(
+            [(i, "a" if i % 10 else "b", values[i % 5] if i % 50 < 5 else 7.0) for i in range(4000)], "id int, g string, v double"
+        )
+        for descending in (True, False):
+            native = rank_within(df, ["g"], "v", ["id"], descending, windows=True)
+            # NaN is unequal to itself in Python.
+            ours = rank_within(df, ["g"], "v", ["id"], descending).withColumn("v", F.col("v").cast("string"))
+            assert rows(ours) == rows(native.withColumn("v", F.col("v").cast("string")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "g string, v int, id int")
+    assert rank_within(df, ["g"], "v", ["id"]).count() == 0
 
 
 def test_a_group_is_needed(spark):
