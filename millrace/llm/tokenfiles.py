@@ -12,7 +12,7 @@ its files, which no other attempt of the task shares. Which files count is what
 the task returns, so a lost or repeated task leaves files that nothing names.
 One row per file (the manifest) gives the order and the first id of each.
 
-Layout, little-endian: ``MAGIC``; blocks (see ``pack_block``); index: block
+Layout, little-endian: ``MAGIC``; blocks (see ``pack_blocks``); index: block
 starts as u64, document ends as u64, document ids as an Arrow stream; trailer
 (see ``TRAILER``).
 """
@@ -23,6 +23,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,23 +46,38 @@ TRAILER = "<QQQQQI8s"
 _HEAD = "<IHHB"
 
 
-def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    """Ids (unsigned 32-bit, at most 65,535 of them) as a patched frame-of-reference block.
+def pack_blocks(ids: np.ndarray, length: int, percentile: float = PERCENTILE) -> list[bytes]:
+    """Ids (unsigned 32-bit) as patched frame-of-reference blocks of ``length`` ids; the last may be shorter.
 
-    Head; low bits of id - minimum, ``width`` each, first id in the lowest bits;
-    places of the exceptions (u16); their bits above ``width`` (u32).
+    A block: head; low bits of id - minimum, ``width`` each, first id in the lowest
+    bits; places of the exceptions (u16); their bits above ``width`` (u32).
     """
-    base = int(ids.min())
-    left = (ids - np.uint32(base)).astype("<u4")
-    # Bits that each difference needs; exact, as doubles hold 32-bit integers.
-    bits = np.frexp(left.astype(np.float64))[1]
-    width = int(np.searchsorted(np.cumsum(np.bincount(bits)), len(ids) * percentile / 100))
-    over = np.nonzero(bits > width)[0]
-    planes = np.unpackbits(left.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    low = np.packbits(planes.ravel(), bitorder="little").tobytes()
-    # Shifted as 64-bit integers: a width of 32 would be no shift of a 32-bit one.
-    high = (left[over].astype(np.uint64) >> np.uint64(width)).astype("<u4")
-    return struct.pack(_HEAD, base, len(ids), len(over), width) + low + over.astype("<u2").tobytes() + high.tobytes()
+    whole = len(ids) // length * length
+    out: list[bytes] = []
+    for rows in (ids[:whole].reshape(-1, length), ids[whole:].reshape(1, -1)):
+        if not rows.size:
+            continue
+        n = rows.shape[1]
+        base = rows.min(axis=1)
+        left = (rows - base[:, None]).astype("<u4")
+        # Bits that each difference needs; exact, as doubles hold 32-bit integers.
+        bits = np.frexp(left.astype(np.float64))[1].astype(np.uint8)
+        place = max(0, -int(-n * percentile // 100) - 1)
+        widths = np.partition(bits, place, axis=1)[:, place]
+        packed: list[bytes] = [b""] * len(rows)
+        for width in np.unique(widths).tolist():
+            of = np.nonzero(widths == width)[0]
+            planes = np.unpackbits(left[of].view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+            low = np.packbits(planes.reshape(len(of), n * width), axis=1, bitorder="little")
+            over = bits[of] > width
+            for i, row in enumerate(of.tolist()):
+                places = np.nonzero(over[i])[0]
+                # Shifted as 64-bit integers: a width of 32 would be no shift of a 32-bit one.
+                high = (left[row, places].astype(np.uint64) >> np.uint64(width)).astype("<u4")
+                head = struct.pack(_HEAD, int(base[row]), n, len(places), width)
+                packed[row] = head + low[i].tobytes() + places.astype("<u2").tobytes() + high.tobytes()
+        out += packed
+    return out
 
 
 def unpack_block(data: bytes, at: int = 0) -> np.ndarray:
@@ -110,9 +126,9 @@ class Writer:
 
     def _flush(self, number: int) -> None:
         every = np.concatenate([np.zeros(0, np.uint32), *self._waiting])
-        for i in range(0, number, self._block):
+        for block in pack_blocks(every[:number], self._block):
             self._starts.append(self._at)
-            self._at += self._out.write(pack_block(every[i : min(i + self._block, number)]))
+            self._at += self._out.write(block)
         self._waiting, self._held = [every[number:]], len(every) - number
 
     def close(self) -> dict:
@@ -186,12 +202,17 @@ class TokenFile:
 
 # Lower-casing and composing leave these characters' words alone but for plain lower case.
 _SIMPLE_END = 0x250
-_PIECE_CHARS, _KNOWN_WORDS = 1 << 20, 1 << 20
+_PIECE_CHARS, _KNOWN_WORDS = 1 << 20, 1 << 19
 _BREAKS = " \t\n\r"
 
 
-def _splits_words(config: dict) -> str | None:
-    """The pattern of a tokenizer that normalizes by NFC, white space and lower case, then encodes matches one by one."""
+def rules_of(definition: str) -> tuple[str, list[str]] | None:
+    """(pattern, special tokens) of a tokenizer that lower-cases texts and encodes the matches one by one, else None.
+
+    That is: composed (NFC), white space made single blanks, lower case; matches of
+    the pattern kept, the rest dropped, each match shown by its bytes to the model.
+    """
+    config = json.loads(definition)
     steps = (config.get("normalizer") or {}).get("normalizers") or []
     replaced = [s for s in steps if s.get("type") == "Replace"]
     before = (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
@@ -203,8 +224,9 @@ def _splits_words(config: dict) -> str | None:
         and (before[0]["behavior"], before[0]["invert"]) == ("Removed", True)
         and (before[1]["add_prefix_space"], before[1]["use_regex"]) == (False, False)
         and not config.get("post_processor")
+        and "Regex" in before[0]["pattern"]
     )
-    return before[0]["pattern"].get("Regex") if fits else None
+    return (before[0]["pattern"]["Regex"], [t["content"] for t in config.get("added_tokens") or []]) if fits else None
 
 
 def _cut(text: str) -> Iterator[str]:
@@ -224,42 +246,54 @@ class Encoder:
     """Ids of texts as the tokenizer library gives them, without special tokens added.
 
     For a tokenizer that splits texts into words which it encodes one by one, each
-    distinct word goes through the library's model once a task. Its rules for
-    composing and lower-casing are only copied where they are plain: for texts of
-    characters below U+0250. Other words, and those with a special token's text,
-    are encoded by the library as they stand. Any other tokenizer gets whole texts.
+    distinct word goes through the library's model once a task: texts are cut at
+    white space, and what stands between is looked up. Its rules for composing and
+    lower-casing are only copied where they are plain: for texts of characters below
+    U+0250. Other pieces, and those with a special token's text, are encoded by the
+    library as they stand. Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, rules: tuple[str, list[str]] | None):
         import regex
         from tokenizers import Tokenizer
 
-        config = json.loads(definition)
         self._tokenizer = Tokenizer.from_str(definition)
-        pattern = _splits_words(config)
         self._split: Callable | None = None
-        if pattern:
+        if rules:
             # White space is Unicode's property; this library's own class also holds four ASCII separators.
-            self._split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
-            special = [regex.escape(t["content"]) for t in config.get("added_tokens") or []]
-            self._odd = regex.compile("|".join([rf"[^\x00-\u{_SIMPLE_END - 1:04X}]", *special])).search
-        self._known: dict[str, bytes] = {}
+            self._split = regex.compile(rules[0].replace(r"\s", r"\p{White_Space}")).findall
+            self._special = rules[1]
+            self._high = regex.compile(rf"[^\x00-\u{_SIMPLE_END - 1:04X}]").search
+            # What the library makes of each simple character before its model sees it.
+            simple = {c for code in range(_SIMPLE_END) for c in chr(code).lower()}
+            shown = {ord(c): self._tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in simple}
+            self._shown = {c: found[0][0] for c, found in shown.items() if found}
+        self._known: dict[str, bytes] = {}  # by what stands between white space
+        self._words: dict[str, bytes] = {}
         self._known_odd: dict[str, bytes] = {}
 
+    def _odd(self, text: str) -> bool:
+        return any(s in text for s in self._special) or self._high(text) is not None
+
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        mapped = self._tokenizer.pre_tokenizer.pre_tokenize_str(word)
-        return np.array([t.id for part, _ in mapped for t in self._tokenizer.model.tokenize(part)], "<u4").tobytes()
+        if word not in self._words:
+            found = self._tokenizer.model.tokenize(word.translate(self._shown))
+            self._words[word] = array("I", [t.id for t in found]).tobytes()
+        return self._words[word]
 
     def _simple(self, text: str) -> bytes:
-        words, known = self._split(text.lower()), self._known
-        if len(known) > _KNOWN_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = self._word(word)
-        return b"".join(map(known.__getitem__, words))
+        for c in _BREAKS[1:]:
+            text = text.replace(c, " ")
+        pieces, known = text.lower().split(" "), self._known
+        for held in (known, self._words):
+            if len(held) > _KNOWN_WORDS:
+                held.clear()
+        for piece in set(pieces).difference(known):
+            known[piece] = b"".join(map(self._word, self._split(piece)))
+        return b"".join(map(known.__getitem__, pieces))
 
     def parts(self, text: str) -> Iterator[np.ndarray]:
         if self._split is None:
@@ -272,7 +306,9 @@ class Encoder:
             if len(self._known_odd) > _KNOWN_WORDS // 16:
                 self._known_odd.clear()
             out = []
-            for word in piece.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "):
+            for c in _BREAKS[1:]:
+                piece = piece.replace(c, " ")
+            for word in piece.split(" "):
                 if not self._odd(word):
                     out.append(self._simple(word))
                 else:
@@ -309,6 +345,7 @@ def write(
         F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("tie")
     )
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
+    rules = rules_of(definition)
     ending = None if end_id is None else np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +359,7 @@ def write(
 
         manifest = pa.schema({"place": pa.int64(), "file": pa.string(), "n_docs": pa.int64(), "n_ids": pa.int64()})
         for batch in batches:
-            encoder = encoder or Encoder(definition)
+            encoder = encoder or Encoder(definition, rules)
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if writer is None:
                     path = f"{target}/{number:016x}-{uuid.uuid4().hex}.ids"

@@ -41,19 +41,20 @@ def ours(encoder, text):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(100, 131), min_size=1, max_size=700), st.integers(0, 100))
 def test_blocks_round_trip(ids, percentile):
-    block = tokenfiles.pack_block(np.array(ids, np.uint32), percentile)
-    assert tokenfiles.unpack_block(b"xyz" + block + b"w", 3).tolist() == ids
+    for length in (1, 16, 700):
+        blocks = tokenfiles.pack_blocks(np.array(ids, np.uint32), length, percentile)
+        assert sum([tokenfiles.unpack_block(b"xyz" + b + b"w", 3).tolist() for b in blocks], []) == ids
 
 
 def test_width_follows_the_percentile():
     ids = np.array([7] + [7 + i % 16 for i in range(98)] + [4_000_000_000], np.uint32)
-    base, n, exceptions, width = struct.unpack_from(tokenfiles._HEAD, tokenfiles.pack_block(ids, 95))
+    base, n, exceptions, width = struct.unpack_from(tokenfiles._HEAD, tokenfiles.pack_blocks(ids, 100, 95)[0])
     assert (base, n, exceptions, width) == (7, 100, 1, 4)
-    assert len(tokenfiles.pack_block(ids, 95)) < len(tokenfiles.pack_block(ids, 100)) / 4
+    assert len(tokenfiles.pack_blocks(ids, 100, 95)[0]) < len(tokenfiles.pack_blocks(ids, 100, 100)[0]) / 4
 
 
 def test_encoder_equals_the_library(definition, library, monkeypatch):
-    encoder = tokenfiles.Encoder(definition)
+    encoder = tokenfiles.Encoder(definition, tokenfiles.rules_of(definition))
     assert encoder._split
     every = [f"a{chr(c)}b {chr(c)} {chr(c)}1" for c in [*range(0x400), *range(0x1E00, 0x2100), *range(0xFB00, 0xFB10)]]
     texts = ODD + every + [" ".join(ODD), "".join(ODD)]
@@ -62,7 +63,7 @@ def test_encoder_equals_the_library(definition, library, monkeypatch):
     # Pieces of long texts, and words that are forgotten, change nothing.
     monkeypatch.setattr(tokenfiles, "_PIECE_CHARS", 7)
     monkeypatch.setattr(tokenfiles, "_KNOWN_WORDS", 32)
-    encoder = tokenfiles.Encoder(definition)
+    encoder = tokenfiles.Encoder(definition, tokenfiles.rules_of(definition))
     for text in [*ODD, " ".join(ODD)]:
         assert ours(encoder, text) == library(text), repr(text[:40])
 
@@ -70,7 +71,7 @@ def test_encoder_equals_the_library(definition, library, monkeypatch):
 @settings(max_examples=60, deadline=None)
 @given(text=st.text(max_size=60))
 def test_encoder_on_any_text(text, definition, library):
-    assert ours(tokenfiles.Encoder(definition), text) == library(text)
+    assert ours(tokenfiles.Encoder(definition, tokenfiles.rules_of(definition)), text) == library(text)
 
 
 def test_other_tokenizers_get_whole_texts(library):
@@ -78,7 +79,7 @@ def test_other_tokenizers_get_whole_texts(library):
         definition = file.read()
     from tokenizers import Tokenizer
 
-    encoder = tokenfiles.Encoder(definition)
+    encoder = tokenfiles.Encoder(definition, tokenfiles.rules_of(definition))
     assert encoder._split is None
     for text in ODD:
         assert ours(encoder, text) == Tokenizer.from_str(definition).encode(text, add_special_tokens=False).ids
