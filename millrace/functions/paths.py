@@ -1,4 +1,4 @@
-"""Which file a row came from, seen through a path pattern with wildcards."""
+"""Paths: in statements, and which file a row came from, seen through a pattern with wildcards."""
 
 from __future__ import annotations
 
@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    """A text as a literal of a SQL statement."""
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def pattern_regex(pattern: str) -> str:
     """Regular expression with one group per ``*`` of a path pattern."""
     pieces = [re.escape(piece) for piece in pattern.split("*")]

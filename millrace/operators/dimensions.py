@@ -194,12 +194,21 @@ def split_history(dimension: DataFrame, changes: DataFrame, business_key: str, k
     return untouched.select(*columns).unionByName(rows.where(F.col(key).isNotNull())).unionByName(added)
 
 
-def split_parent(child: DataFrame, attributes: list[str], key: str) -> tuple[DataFrame, DataFrame]:
-    """Move attributes into a parent dimension; returns (parent, child with its key)."""
+def split_parent(child: DataFrame, attributes: list[str], key: str, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Move attributes into a parent dimension; returns (parent, child with its key).
+
+    The keys are 1, 2, ... in order of the attributes. With ``hashed`` they are
+    64-bit hashes of the attributes: the same in every load, so nothing is numbered
+    or written and the child needs no join. Two attribute tuples of one hash would
+    give a parent with two rows of one key; check it by ``quality.require_unique``.
+    """
+    rest = [c for c in child.columns if c not in attributes]
+    if hashed:
+        own = F.xxhash64(*attributes, *[F.col(c).isNull() for c in attributes]).alias(key)
+        return child.select(*attributes).distinct().select(own, *attributes), child.select(own, *rest)
     parent = assign_keys(child.select(*attributes).distinct(), attributes, key)
     matches = F.lit(True)
     for c in attributes:
         matches = matches & F.col(f"child.{c}").eqNullSafe(F.col(f"parent.{c}"))
-    rest = [F.col(f"child.{c}") for c in child.columns if c not in attributes]
-    slim = child.alias("child").join(parent.alias("parent"), matches).select(F.col(f"parent.{key}"), *rest)
+    slim = child.alias("child").join(parent.alias("parent"), matches).select(F.col(f"parent.{key}"), *[F.col(f"child.{c}") for c in rest])
     return parent, slim

@@ -53,7 +53,7 @@ def sales_orders(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat_ws(" ", "c_mktsegment", "c_name"))
         .alias("CustomerName"),
         F.col("o_totalprice").alias("OrderTotal"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Special Order")
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Urgent Order")
         .otherwise("Standard Order")
         .alias("OrderType"),
         F.col("o_orderdate").cast("date").alias("OrderDate"),
@@ -64,7 +64,7 @@ SALES_ORDERS_SQL = """
   SELECT o_orderkey AS OrderID,
          CASE WHEN o_orderstatus = 'P' THEN c_name ELSE c_mktsegment || ' ' || c_name END AS CustomerName,
          o_totalprice AS OrderTotal,
-         CASE WHEN o_orderpriority = '1-URGENT' THEN 'Special Order' ELSE 'Standard Order' END AS OrderType,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'Urgent Order' ELSE 'Standard Order' END AS OrderType,
          CAST(o_orderdate AS DATE) AS OrderDate
   FROM orders JOIN customer ON o_custkey = c_custkey"""
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.plans.inputs import table
+from millrace.plans.inputs import new_database, table
 from millrace.session import scratch
+from millrace.streaming.control import Watched
 from millrace.streaming.sinks import to_parquet, to_versioned
 from millrace.streaming.sources import json_folder
 from millrace.versioned.table import VersionedTable
@@ -82,6 +83,53 @@ def stream_versioned_source(spark, folder):
     return spark.read.schema(DEVICE).parquet(path)
 
 
+def stream_while_running(spark, folder):
+    """A stream looked at by SQL while it runs, after it was stopped, and after another query went on.
+
+    Three loads arrive: two while the first query runs, the third when it is
+    stopped. ``rows_taken`` and ``batches`` are what the query of the moment reports.
+    """
+    arriving, path, checkpoint = (scratch(spark, n) for n in ("arriving", "devices", "checkpoint"))
+    name = f"{new_database(spark)}.devices"
+    moments = []
+
+    def arrive(only: str) -> None:
+        # One file, so one batch.
+        _readings(spark, folder, only).coalesce(1).write.mode("append").json(arriving)
+
+    def start() -> Watched:
+        return Watched(to_versioned(json_folder(spark, arriving, DEVICE, max_files=1), path, checkpoint))
+
+    def look(moment: str, running: Watched) -> None:
+        batches, taken = running.progress()
+        counts = spark.sql(f"SELECT status, count(*) AS count FROM {name} GROUP BY status")
+        seen = counts.select(
+            F.lit(moment).alias("moment"), F.lit(running.active).alias("running"), F.lit(batches).cast("bigint").alias("batches"),
+            F.lit(taken).cast("bigint").alias("rows_taken"), "status", "count",
+        )
+        # Written, because the table goes on changing.
+        seen.write.parquet(kept := scratch(spark, "moment"))
+        moments.append(spark.read.schema(seen.schema).parquet(kept))
+
+    arrive("event_type = 'view'")
+    with start() as running:
+        VersionedTable(spark, path).register(name)
+        running.take()
+        look("first load", running)
+        arrive("event_type = 'click'")
+        running.take()
+        look("second load", running)
+    arrive("event_type NOT IN ('view', 'click')")
+    look("stopped", running)
+    with start() as again:
+        again.take()
+        look("resumed", again)
+    first, *others = moments
+    for moment in others:
+        first = first.unionByName(moment)
+    return first
+
+
 _READINGS = "SELECT event_id, 'device-' || user_id AS device, event_type AS status FROM events"
 
 QUERIES = {
@@ -98,6 +146,18 @@ QUERIES = {
                   CASE WHEN event_type IN ('view', 'click') THEN count(*) END AS in_first_round
            FROM events GROUP BY event_type""",
     ),
+    "stream_while_running": (
+        stream_while_running,
+        """WITH loads AS (
+             SELECT event_type AS status, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS load FROM events),
+           moments(moment, running, low, high, batches, shown) AS (
+             VALUES ('first load', true, 1, 1, 1, 1), ('second load', true, 1, 2, 2, 2), ('stopped', false, 1, 2, 2, 2),
+                    ('resumed', true, 3, 3, 1, 3))
+           SELECT moment, running, CAST(batches AS BIGINT) AS batches,
+                  CAST((SELECT count(*) FROM loads l WHERE l.load BETWEEN m.low AND m.high) AS BIGINT) AS rows_taken, status,
+                  count(*) AS count
+           FROM moments m JOIN loads ON load <= shown GROUP BY ALL""",
+    ),
     "stream_versioned_source": (
         stream_versioned_source,
         f"""SELECT * FROM ({_READINGS}) 

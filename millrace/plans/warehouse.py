@@ -7,14 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import date_key
-from millrace.operators import dimensions, quality
+from millrace.operators import dimensions, keymap, quality
 from millrace.operators.facts import Lookup, as_of, matched, point_in_time, replace_keys, unmatched
 from millrace.operators.keys import append_members, new_members
-from millrace.plans.inputs import CUSTOMERS_SQL, customers, money, new_database, order_heads, order_lines, table
+from millrace.plans.inputs import CUSTOMERS_SQL, cities, customers, money, new_database, order_heads, order_lines, table
 from millrace.session import scratch
 from millrace.sinks import tables
 
-PRODUCT_COLUMNS = {"ProductID": "ProdAltKey", "ProductName": "ProductName", "ProductCategory": "ProductCategory", "ListPrice": "ListPrice"}
+PRODUCT_COLUMNS = {"ProductID": "StockCode", "ProductName": "ProductName", "ProductCategory": "ProductCategory", "ListPrice": "ListPrice"}
 CHANGED_ON = dt.date(1998, 7, 1)
 FIRST_DAY = dt.date(1990, 1, 1)
 
@@ -29,7 +29,7 @@ def _staged_products(spark, folder, only="true"):
 
 
 def _dim_product(spark, folder, only="true"):
-    return dimensions.full_load(_staged_products(spark, folder, only), PRODUCT_COLUMNS, "ProdAltKey", "ProdKey")
+    return dimensions.full_load(_staged_products(spark, folder, only), PRODUCT_COLUMNS, "StockCode", "StockKey")
 
 
 def _as_double(df, column="ListPrice"):
@@ -48,7 +48,7 @@ def dim_append_identity(spark, folder):
     """Small products are loaded first; the next batch brings all, only unknown ones are added."""
     dimension = _dim_product(spark, folder, "p_size <= 35")
     staged = _mapped(_staged_products(spark, folder))
-    added = append_members(dimension, new_members(staged, dimension, ["ProdAltKey"]), ["ProdAltKey"], "ProdKey")
+    added = append_members(dimension, new_members(staged, dimension, ["StockCode"]), ["StockCode"], "StockKey")
     return _as_double(dimension.unionByName(added))
 
 
@@ -59,12 +59,39 @@ def dim_upsert_rebuild(spark, folder):
     staged = _mapped(_staged_products(spark, folder, "p_size >= 25")).withColumn(
         "ListPrice", (F.col("ListPrice") + 10).cast("decimal(18,2)")
     )
-    rebuilt = dimensions.upsert(spark.table(f"{database}.DimProduct"), staged, "ProdAltKey", "ProdKey")
+    rebuilt = dimensions.upsert(spark.table(f"{database}.DimProduct"), staged, "StockCode", "StockKey")
     tables.save_managed(rebuilt, f"{database}.ProductsNext")
     tables.swap(spark, f"{database}.DimProduct", f"{database}.ProductsNext", f"{database}.ProductsBefore")
     return _as_double(spark.table(f"{database}.DimProduct"))
 
 
+def _sources(spark, folder):
+    """Parties of two systems whose numbers overlap; one segment is listed again, later and with another city."""
+    who = customers(spark, folder)
+    old, new = F.lit("1997-01-01").cast("date"), F.lit("1998-01-01").cast("date")
+    shop = who.select(F.lit("shop").alias("Origin"), F.col("CustomerNo").alias("PartyNo"), F.col("CustomerName").alias("PartyName"), "City", old.alias("Since"))
+    again = who.where("Segment = 'BUILDING'").select(
+        F.lit("shop"), "CustomerNo", "CustomerName", F.concat(F.lit("NEW "), "City"), new
+    )
+    suppliers = table(spark, folder, "supplier").join(cities(spark, folder), F.col("s_nationkey") == F.col("CityKey"))
+    return shop.union(again), suppliers.select(F.lit("supply").alias("Origin"), F.col("s_suppkey").alias("PartyNo"), F.col("s_name").alias("PartyName"), "City", old.alias("Since"))
+
+
+def dim_multi_source(spark, folder):
+    """The shop is loaded first, then both systems: equal numbers are different parties, known ones keep their keys."""
+    shop, supply = _sources(spark, folder)
+    empty = spark.createDataFrame([], "PartyKey bigint, Origin string, PartyNo bigint")
+    first = keymap.extended_map(empty, shop, "Origin", "PartyNo", "PartyKey")
+    members = keymap.resolve(shop.unionByName(supply), "Origin", "PartyNo", F.col("Since"))
+    known = keymap.extended_map(first, members, "Origin", "PartyNo", "PartyKey")
+    return keymap.integrated(known, members, "Origin", "PartyNo")
+
+
+def dim_multi_source_conflicts(spark, folder):
+    """What the load of several sources reports."""
+    return keymap.conflicts(dim_multi_source(spark, folder))
+
+
 # ---- calendars --------------------------------------------------------------
 
 def dim_date_build(spark, folder):
@@ -163,7 +190,7 @@ def dim_snowflake_split(spark, folder):
 def _keyed_sales(spark, folder, parts):
     """Order lines with the keys of their dimensions, NULL where one is unknown."""
     who = dimensions.full_load(customers(spark, folder), {"CustomerNo": "CustAltKey"}, "CustAltKey", "CustomerKey")
-    what = dimensions.full_load(parts, {"p_partkey": "ProdAltKey"}, "ProdAltKey", "ProductKey")
+    what = dimensions.full_load(parts, {"p_partkey": "StockCode"}, "StockCode", "ProductKey")
     stores = table(spark, folder, "supplier")
     where = dimensions.full_load(stores, {"s_suppkey": "StoreAltKey"}, "StoreAltKey", "StoreKey")
     # The customer belongs to the order: looked up there, before orders meet their
@@ -173,7 +200,7 @@ def _keyed_sales(spark, folder, parts):
     keyed = replace_keys(
         order_lines(spark, folder).join(orders, "OrderNumber"),
         [
-            Lookup("ProductID", what, "ProdAltKey", "ProductKey"),
+            Lookup("ProductID", what, "StockCode", "ProductKey"),
             Lookup("StoreNo", where, "StoreAltKey", "StoreKey"),
         ],
     ).withColumn("OrderNumber", F.col("OrderNumber").cast("string"))
@@ -236,12 +263,12 @@ def check_length(spark, folder):
 
 
 _STAGED = """
-  SELECT 'P' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS ProdAltKey, p_name || ', ' || p_brand AS ProductName,
+  SELECT 'P' || lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS StockCode, p_name || ', ' || p_brand AS ProductName,
          p_type AS ProductCategory, CAST(p_retailprice AS DECIMAL(18,2)) AS ListPrice, p_size
   FROM part"""
-_KEYED = f"SELECT row_number() OVER (ORDER BY ProdAltKey) AS ProdKey, * FROM ({_STAGED}) WHERE p_size <= 35"
+_KEYED = f"SELECT row_number() OVER (ORDER BY StockCode) AS StockKey, * FROM ({_STAGED}) WHERE p_size <= 35"
 _ARRIVED = f"""
-  SELECT (SELECT count(*) FROM part WHERE p_size <= 35) + row_number() OVER (ORDER BY ProdAltKey) AS ProdKey, *
+  SELECT (SELECT count(*) FROM part WHERE p_size <= 35) + row_number() OVER (ORDER BY StockCode) AS StockKey, *
   FROM ({_STAGED}) WHERE p_size > 35"""
 
 
@@ -319,23 +346,42 @@ def _sales_sql(known: str, wanted: str) -> str:
            WHERE {wanted}"""
 
 
+_PARTIES = f"""
+  SELECT CASE Origin WHEN 'shop' THEN 0 ELSE (SELECT count(*) FROM customer) END
+           + row_number() OVER (PARTITION BY Origin ORDER BY PartyNo) AS PartyKey,
+         Origin, PartyNo, PartyName, City, Since, Versions,
+         (PartyNo IN (SELECT c_custkey FROM customer))::BIGINT + (PartyNo IN (SELECT s_suppkey FROM supplier))::BIGINT AS SharedBy
+  FROM (SELECT 'shop' AS Origin, CustomerNo AS PartyNo, CustomerName AS PartyName,
+               CASE WHEN Segment = 'BUILDING' THEN 'NEW ' || City ELSE City END AS City,
+               CASE WHEN Segment = 'BUILDING' THEN DATE '1998-01-01' ELSE DATE '1997-01-01' END AS Since,
+               CASE WHEN Segment = 'BUILDING' THEN 2 ELSE 1 END::BIGINT AS Versions FROM ({CUSTOMERS_SQL})
+        UNION ALL
+        SELECT 'supply', s_suppkey, s_name, n_name, DATE '1997-01-01', 1
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+
+
 QUERIES = {
     "surrogate_key_full": (
         surrogate_key_full,
-        f"""SELECT row_number() OVER (ORDER BY ProdAltKey) AS ProdKey, ProdAltKey, ProductName, ProductCategory,
+        f"""SELECT row_number() OVER (ORDER BY StockCode) AS StockKey, StockCode, ProductName, ProductCategory,
                    CAST(ListPrice AS DOUBLE) AS ListPrice FROM ({_STAGED})""",
     ),
     "dim_append_identity": (
         dim_append_identity,
-        f"""SELECT ProdKey, ProdAltKey, ProductName, ProductCategory, CAST(ListPrice AS DOUBLE) AS ListPrice
+        f"""SELECT StockKey, StockCode, ProductName, ProductCategory, CAST(ListPrice AS DOUBLE) AS ListPrice
             FROM ({_KEYED} UNION ALL {_ARRIVED})""",
     ),
     "dim_upsert_rebuild": (
         dim_upsert_rebuild,
-        f"""SELECT ProdKey, ProdAltKey, ProductName, ProductCategory,
+        f"""SELECT StockKey, StockCode, ProductName, ProductCategory,
                    CAST(CASE WHEN p_size >= 25 THEN ListPrice + 10 ELSE ListPrice END AS DOUBLE) AS ListPrice
             FROM ({_KEYED} UNION ALL {_ARRIVED})""",
     ),
+    "dim_multi_source": (dim_multi_source, _PARTIES),
+    "dim_multi_source_conflicts": (
+        dim_multi_source_conflicts,
+        f"SELECT * FROM ({_PARTIES}) WHERE Versions > 1 OR SharedBy > 1",
+    ),
     "dim_date_build": (dim_date_build, _calendar(_FIRST_ORDER, "SELECT max(o_orderdate) FROM orders")),
     "dim_date_extend": (
         dim_date_extend,
@@ -398,7 +444,7 @@ QUERIES = {
         f"""SELECT 'ProductName' AS column_name, CAST(20 AS BIGINT) AS max_length,
                    count(*) FILTER (length(ProductName) > 20) AS violations FROM ({_STAGED})
             UNION ALL SELECT 'ProductCategory', 5, count(*) FILTER (length(ProductCategory) > 5) FROM ({_STAGED})
-            UNION ALL SELECT 'ProductID', 13, count(*) FILTER (length(ProdAltKey) > 13) FROM ({_STAGED})
+            UNION ALL SELECT 'ProductID', 13, count(*) FILTER (length(StockCode) > 13) FROM ({_STAGED})
             UNION ALL SELECT 'ListPrice', 5, count(*) FILTER (round(ListPrice * 1.05, 2) >= 1000) FROM ({_STAGED})""",
     ),
 }

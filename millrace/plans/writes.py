@@ -86,7 +86,7 @@ def ctas(spark, folder):
     products(spark, folder).createOrReplaceTempView("ctas_products")
     spark.sql(
         f"""CREATE TABLE {name} USING parquet AS
-            SELECT ProductID AS ProdAltKey, ProductName, Category, CAST(ListPrice AS DOUBLE) AS ListPrice
+            SELECT ProductID AS StockCode, ProductName, Category, CAST(ListPrice AS DOUBLE) AS ListPrice
             FROM ctas_products"""
     )
     spark.catalog.dropTempView("ctas_products")
@@ -110,11 +110,11 @@ def cetas_special_orders(spark, folder):
     results = []
     for kind, (location, name) in source.items():
         read = lake.read(location, name, "CsvFormat", header="true", inferSchema="true")
-        special = read.where("OrderType = 'Special Order'").select(
+        special = read.where("OrderType = 'Urgent Order'").select(
             F.col("OrderID").cast("bigint").alias("OrderID"), "CustomerName", "OrderTotal"
         )
         stored = lake.table_as_select(
-            special, f"{database}.RushSales_{kind}", f"rush_{kind}", "files", "ParquetFormat"
+            special, f"{database}.UrgentSales_{kind}", f"urgent_{kind}", "files", "ParquetFormat"
         )
         results.append(stored.withColumn("source_path", F.lit(kind)))
     return results[0].unionByName(results[1])
@@ -127,8 +127,8 @@ def rebuild_special_orders_by_year(spark, folder):
     schema = "OrderID BIGINT, CustomerName STRING, OrderTotal DOUBLE, OrderType STRING, OrderDate DATE"
     lake.external_table(f"{database}.sales_orders", schema, "sales_orders/*.csv", "files", "CsvFormat", header="true")
     query = f"""SELECT OrderID, CustomerName, OrderTotal FROM {database}.sales_orders
-                WHERE OrderType = 'Special Order' AND YEAR(OrderDate) = :order_year"""
-    name, path = f"{database}.RushSales", lake.path("rush", "files")
+                WHERE OrderType = 'Urgent Order' AND YEAR(OrderDate) = :order_year"""
+    name, path = f"{database}.UrgentSales", lake.path("urgent", "files")
     for year in (1997, 1998):
         result = tables.rebuild_external(spark, name, path, query, order_year=year)
     return result
@@ -155,28 +155,28 @@ def insert_values(spark, folder):
 
 
 _STAGE = (
-    "ProdKey BIGINT, ProductID BIGINT, ProductName STRING, Category STRING, ListPrice DECIMAL(18,2), Discontinued BOOLEAN"
+    "StockKey BIGINT, ProductID BIGINT, ProductName STRING, Category STRING, ListPrice DECIMAL(18,2), Withdrawn BOOLEAN"
 )
 
 
 def copy_into_staging(spark, folder):
     """Two Parquet loads by column list; keys are made, the files' own key is refused."""
-    name = f"{new_database(spark)}.StageProduct"
+    name = f"{new_database(spark)}.Arrivals"
     create_table(spark, name, _STAGE)
-    incoming = products(spark, folder).withColumn("ProdKey", -F.col("ProductID"))
-    columns = ["ProdKey", "ProductID", "ProductName", "Category", "ListPrice"]
+    incoming = products(spark, folder).withColumn("StockKey", -F.col("ProductID"))
+    columns = ["StockKey", "ProductID", "ProductName", "Category", "ListPrice"]
     for part in ("Category IN ('PROMO', 'SMALL', 'LARGE')", "Category NOT IN ('PROMO', 'SMALL', 'LARGE')"):
         path = scratch(spark, "staged")
         incoming.where(part).write.parquet(f"{path}/products1.parquet")
         tables.copy_into(
-            spark, name, columns, f"{path}/products*.parquet", identity=("ProdKey", ["ProductID"])
+            spark, name, columns, f"{path}/products*.parquet", identity=("StockKey", ["ProductID"])
         )
     return spark.table(name).withColumn("ListPrice", F.col("ListPrice").cast("double"))
 
 
 def copy_into_maxerrors(spark, folder):
     """Rows of one brand have text where the id belongs; they are within the allowance."""
-    name = f"{new_database(spark)}.StageProduct"
+    name = f"{new_database(spark)}.Arrivals"
     create_table(spark, name, "ProductID BIGINT, ProductName STRING, Size INT")
     parts = table(spark, folder, "part")
     broken = F.when(F.col("p_brand") == "Brand#7", F.concat(F.lit("id-"), "p_partkey")).otherwise(
@@ -190,7 +190,7 @@ def copy_into_maxerrors(spark, folder):
 
 def copy_into_constraints(spark, folder):
     """Rows without a category or with a long name break the table's rules; loaded and left out are all rows."""
-    name = f"{new_database(spark)}.StageProduct"
+    name = f"{new_database(spark)}.Arrivals"
     create_table(spark, name, "ProductID BIGINT, ProductName STRING, Category STRING")
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("ProductID"),
@@ -207,6 +207,22 @@ def copy_into_constraints(spark, folder):
     return loaded.unionByName(left_out.select(*parts.columns, F.lit(False).alias("loaded")))
 
 
+def copy_into_rejects(spark, folder):
+    """The rows a load leaves out, with all the rules each one breaks."""
+    name = f"{new_database(spark)}.Arrivals"
+    create_table(spark, name, "PartNo BIGINT, PartName STRING, Kind STRING")
+    parts = table(spark, folder, "part").select(
+        F.when(F.col("p_brand") == "Brand#7", F.concat(F.lit("no-"), "p_partkey")).otherwise(F.col("p_partkey").cast("string")).alias("PartNo"),
+        F.col("p_name").alias("PartName"),
+        F.nullif("p_type", F.lit("PROMO")).alias("Kind"),
+    )
+    path = write_csv(parts, header=False)
+    left_out = tables.copy_into(
+        spark, name, parts.columns, path, "CSV", max_errors=parts.count(), not_null=["Kind"], max_lengths={"PartName": 9}
+    )
+    return left_out.select("PartName", "Kind", F.array_join(tables.REASONS, "; ").alias("Reasons"))
+
+
 def rename_swap(spark, folder):
     """The current table is archived, the rebuilt one takes its name."""
     database = new_database(spark)
@@ -255,7 +271,7 @@ def layout_replicate_join(spark, folder):
 
 
 _SPECIAL = f"""SELECT OrderID, CustomerName, OrderTotal FROM ({SALES_ORDERS_SQL})
-               WHERE OrderType = 'Special Order'"""
+               WHERE OrderType = 'Urgent Order'"""
 _YEAR_MONTH = f"""SELECT *, CAST(year(OrderDate) AS BIGINT) AS Year, CAST(month(OrderDate) AS BIGINT) AS Month
                   FROM ({SALES_ORDERS_SQL})"""
 
@@ -280,7 +296,7 @@ QUERIES = {
     "sink_managed_table": (sink_managed_table, CUSTOMERS_SQL),
     "ctas": (
         ctas,
-        f"""SELECT ProductID AS ProdAltKey, ProductName, Category, CAST(ListPrice AS DOUBLE) AS ListPrice
+        f"""SELECT ProductID AS StockCode, ProductName, Category, CAST(ListPrice AS DOUBLE) AS ListPrice
             FROM ({PRODUCTS_SQL})""",
     ),
     "cetas_special_orders": (
@@ -303,9 +319,9 @@ QUERIES = {
     "copy_into_staging": (
         copy_into_staging,
         f"""SELECT row_number() OVER (ORDER BY CASE WHEN Category IN ('PROMO', 'SMALL', 'LARGE') THEN 0 ELSE 1 END,
-                                      ProductID) AS ProdKey,
+                                      ProductID) AS StockKey,
                    ProductID, ProductName, Category, CAST(ListPrice AS DOUBLE) AS ListPrice,
-                   CAST(NULL AS BOOLEAN) AS Discontinued
+                   CAST(NULL AS BOOLEAN) AS Withdrawn
             FROM ({PRODUCTS_SQL})""",
     ),
     "copy_into_maxerrors": (
@@ -317,6 +333,15 @@ QUERIES = {
         """SELECT p_partkey AS ProductID, p_name AS ProductName, nullif(p_type, 'PROMO') AS Category,
                   p_type <> 'PROMO' AND length(p_name) <= 9 AS loaded FROM part""",
     ),
+    "copy_into_rejects": (
+        copy_into_rejects,
+        f"""SELECT * FROM (
+              SELECT p_name AS PartName, nullif(p_type, 'PROMO') AS Kind, CASE
+                       WHEN p_brand = 'Brand#7' THEN '{tables.UNREADABLE}'
+                       ELSE concat_ws('; ', CASE WHEN p_type = 'PROMO' THEN 'Kind is NULL' END,
+                                      CASE WHEN length(p_name) > 9 THEN 'PartName is longer than 9' END) END AS Reasons
+              FROM part) WHERE Reasons <> ''""",
+    ),
     "rename_swap": (
         rename_swap,
         f"SELECT CustomerNo, lower(City) AS City, City AS OldCity FROM ({CUSTOMERS_SQL})",

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from millrace.files import Files
+from millrace.functions.paths import sql_text
 from millrace.operators.keys import append_members
 from millrace.operators.quality import require_constraints
 from millrace.session import scratch
@@ -18,20 +22,64 @@ class TooManyErrors(ValueError):
     """A bulk load met more bad rows than allowed."""
 
 
+def _require_external(spark: SparkSession, name: str) -> None:
+    """Raise if dropping the table would delete files, or if the name is a view's."""
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is there already, as {kind}: drop it first if its rows may go")
+
+
+def _written_partitions(spark: SparkSession, parent: str, by: list[str]) -> list[dict[str, str]]:
+    """Values of the partition folders below a path, as they are written in the folder names."""
+    files = Files(spark, parent)
+    found: list[tuple[str, dict[str, str]]] = [("", {})]
+    for column in by:
+        found = [
+            (f"{folder}/{name}".lstrip("/"), values | {column: name.partition("=")[2]})
+            for folder, values in found
+            for name in files.names(folder)
+        ]
+    return [values for _, values in found]
+
+
 def save_external(df: DataFrame, name: str, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Table whose files stay when it is dropped."""
+    """Table whose files stay when it is dropped.
+
+    A table of that name is replaced if it is external. A managed one raises, and
+    nothing is written: dropping it would delete its rows, and the new ones too if
+    it lies at the path.
+    """
     spark = df.sparkSession
+    _require_external(spark, name)
     # Complete beside the target first: the frame may read the files it replaces.
     swap_in(spark, path, write_beside(df, path, partition_by))
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION {sql_text(path)}")
     if partition_by:
-        spark.catalog.recoverPartitions(name)
+        _add_partitions(spark, name, path, partition_by)
     return spark.table(name)
 
 
+# Partitions named in one statement.
+_ADDED_AT_ONCE = 500
+
+
+def _add_partitions(spark: SparkSession, name: str, path: str, by: list[str]) -> None:
+    """Register the partition folders by their names; the files in them are not listed."""
+    found = _written_partitions(spark, path, by)
+    for i in range(0, len(found), _ADDED_AT_ONCE):
+        specs = [
+            ", ".join(
+                f"`{c}` = NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"`{c}` = {sql_text(unquote(v))}" for c, v in values.items()
+            )
+            for values in found[i : i + _ADDED_AT_ONCE]
+        ]
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({s})" for s in specs))
+
+
 def save_managed(df: DataFrame, name: str) -> DataFrame:
     """Table whose files go when it is dropped."""
     df.write.saveAsTable(name, format="parquet")
@@ -64,8 +112,10 @@ def rebuild_external(spark: SparkSession, name: str, path: str, query: str, **pa
     """Drop and recreate an external table from a parameterised query.
 
     The result is complete in a folder of its own before the old table and its
-    folder go, so the query may even read the table it rebuilds.
+    folder go, so the query may even read the table it rebuilds. A managed table of
+    that name raises and keeps its rows.
     """
+    _require_external(spark, name)
     rows = spark.sql(query, args=parameters)
     fresh = write_beside(rows, path)
     swap_in(spark, path, fresh)
@@ -73,14 +123,16 @@ def rebuild_external(spark: SparkSession, name: str, path: str, query: str, **pa
     return spark.catalog.createTable(name, path=path, source="parquet", schema=rows.schema)
 
 
-def _broken(not_null: list[str], max_lengths: dict[str, int]):
-    """Whether a row breaks a rule of the table, as a boolean column."""
-    broken = F.lit(False)
-    for c in not_null:
-        broken = broken | F.col(c).isNull()
-    for c, n in max_lengths.items():
-        broken = broken | F.coalesce(F.char_length(c) > n, F.lit(False))
-    return broken
+REASONS = "reasons"
+UNREADABLE = "does not parse"
+
+
+def _reasons(not_null: list[str], max_lengths: dict[str, int], parsed: bool):
+    """Names of the rules a row breaks; a row that does not parse breaks no other."""
+    rules = {f"{c} is NULL": F.col(c).isNull() for c in not_null}
+    rules |= {f"{c} is longer than {n}": F.char_length(c) > n for c, n in max_lengths.items()}
+    broken = F.array_compact(F.array(*[F.when(rule, name) for name, rule in rules.items()])).cast("array<string>")
+    return F.when(F.col(_BAD).isNotNull(), F.array(F.lit(UNREADABLE))).otherwise(broken) if parsed else broken
 
 
 def copy_into(
@@ -95,7 +147,7 @@ def copy_into(
     max_lengths: dict[str, int] | None = None,
     **options: str,
 ) -> DataFrame:
-    """Append files to a table, taking the listed columns by name; returns the rows left out.
+    """Append files to a table, taking the listed columns by name; returns the rows left out, with REASONS.
 
     CSV files need the listed columns in file order. A row that does not parse,
     or that breaks a NOT NULL or length rule named here, is bad: up to
@@ -103,24 +155,31 @@ def copy_into(
     loaded. Table columns that are not listed get NULL. With
     ``identity=(key, business_key)`` a key in the files is not accepted, nor
     judged: the loaded rows are numbered after the keys already in the table.
+
+    Where a row can be bad, each is parsed once and written with its verdict; the
+    count, the load and the rows left out all read that copy, so a failed load can
+    be repeated and rejects are kept before anything is loaded.
     """
     target = spark.table(table)
     known = {f.name: f for f in target.schema.fields}
     key = identity[0] if identity else None
-    if file_type.upper() == "PARQUET":
-        rows = spark.read.parquet(path).select(*columns).withColumn(_BAD, F.lit(None).cast("string"))
-    else:
+    parsed = file_type.upper() != "PARQUET"
+    if parsed:
         # The refused key is read as text, so whatever it holds it parses.
         fields = [StructField(c, StringType()) if c == key or c not in known else known[c] for c in columns]
         options = {"columnPruning": "false", **options}
         marked = StructType([*fields, StructField(_BAD, StringType())])
         rows = spark.read.schema(marked).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, **options).csv(path)
-    bad = F.col(_BAD).isNotNull() | _broken(not_null or [], max_lengths or {})
-    # Hashing all columns keeps them all in the scan: a pruned column is not parsed.
-    found, _ = rows.agg(F.count_if(bad), F.bit_xor(F.xxhash64(*columns))).first()
-    if found > max_errors:
-        raise TooManyErrors(f"{found} bad rows in {path}, {max_errors} allowed")
-    good = rows.where(~bad)
+    else:
+        rows = spark.read.parquet(path).select(*columns).withColumn(_BAD, F.lit(None).cast("string"))
+    judged = rows.withColumn(REASONS, _reasons(not_null or [], max_lengths or {}, parsed))
+    if parsed or not_null or max_lengths:
+        judged.write.parquet(copy := scratch(spark, "judged"))
+        judged = spark.read.schema(judged.schema).parquet(copy)
+        found = judged.where(F.size(REASONS) > 0).count()
+        if found > max_errors:
+            raise TooManyErrors(f"{found} bad rows in {path}, {max_errors} allowed")
+    good = judged.where(F.size(REASONS) == 0)
     present = set(columns) - {key}
     filled = good.select(
         *[
@@ -132,7 +191,4 @@ def copy_into(
     if identity:
         filled = append_members(target, filled, identity[1], key)
     filled.select(*target.columns).write.insertInto(table)
-    # Written, so that looking at some columns only cannot change what was bad.
-    left_out = rows.where(bad)
-    left_out.write.parquet(rejected := scratch(spark, "rejected"))
-    return spark.read.schema(left_out.schema).parquet(rejected)
+    return judged.where(F.size(REASONS) > 0)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.functions.paths import sql_text
 from millrace.sources.rowsets import Schema, at_pattern
 
 
@@ -78,7 +79,7 @@ class Lake:
         """Catalog table with fixed columns over files."""
         chosen = self._formats[file_format]
         settings = {**chosen.options, **options, "path": self.path(location, source)}
-        pairs = ", ".join(f"'{k}' {_quoted(v)}" for k, v in settings.items())
+        pairs = ", ".join(f"'{k}' {sql_text(v)}" for k, v in settings.items())
         self.spark.sql(f"CREATE TABLE {name} ({columns}) USING {chosen.kind} OPTIONS ({pairs})")
         return self.spark.table(name)
 
@@ -93,8 +94,3 @@ class Lake:
         writer.mode("errorifexists").save(self.path(location, source))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         return self.external_table(name, columns, location, source, file_format)
-
-
-def _quoted(value: str) -> str:
-    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"

@@ -61,7 +61,7 @@ def differences(spark_df, connection, sql: str) -> str | None:
 if __name__ == "__main__":
     import time
 
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from millrace.plans.registry import oracle_sql, queries
     from millrace.session import build_session
 

@@ -179,3 +179,51 @@ def test_broadcast_only_within_the_size(spark, plan):
 def test_round_robin_is_even(spark):
     sizes = round_robin(spark.range(1000).coalesce(1), 4).groupBy(F.spark_partition_id()).count()
     assert {r[1] for r in sizes.collect()} <= {249, 250, 251}
+
+
+@pytest.mark.parametrize("partition_by", [None, ["p"]])
+def test_a_managed_table_is_not_replaced_by_an_external_one(spark, database, partition_by):
+    name = f"{database}.kept"
+    spark.range(100).selectExpr("id", "id % 3 AS p").write.saveAsTable(name, format="parquet", partitionBy=partition_by)
+    place = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()[1]
+    rows = spark.read.parquet(place).where("id < 50")
+    for save in (
+        lambda: tables.save_external(rows, name, place, partition_by),
+        lambda: tables.rebuild_external(spark, name, place, f"SELECT * FROM {name} WHERE id < :n", n=50),
+    ):
+        with pytest.raises(ValueError, match="MANAGED"):
+            save()
+        assert spark.table(name).count() == 100 and spark.read.parquet(place).count() == 100
+
+
+def test_partitions_of_any_value_and_paths_with_quotes(spark, database, path, rows):
+    data = [(1, "a b/c=d'e", "x"), (2, None, "100%"), (3, "é\\z", "y:z")]
+    df = spark.createDataFrame(data, "id int, p string, q string")
+    for by in (["p"], ["p", "q"]):
+        table = tables.save_external(df, f"{database}.odd{len(by)}", f"{path}/it's {len(by)}", by)
+        assert rows(table.select("id", "p", "q")) == sorted(data, key=repr)
+        assert table.where("p = 'a b/c=d\\'e'").count() == 1 and table.where("p IS NULL").count() == 1
+        assert spark.sql(f"SHOW PARTITIONS {database}.odd{len(by)}").count() == 3
+
+
+def test_rejected_rows_carry_their_reasons(spark, path, database):
+    name = f"{database}.Stage"
+    definitions.create_table(spark, name, "id INT, t STRING, u STRING")
+    _csv(path, "rows.csv", "1,a,\nx,b,c\n3,long,\n4,long,d\n5,ok,e\n")
+    left_out = tables.copy_into(
+        spark, name, ["id", "t", "u"], path, "CSV", max_errors=4, not_null=["u"], max_lengths={"t": 2}
+    )
+    found = {r["t"]: list(r[tables.REASONS]) for r in left_out.where("u IS NOT NULL").collect()}
+    assert found == {"b": [tables.UNREADABLE], "long": ["t is longer than 2"]}
+    both = left_out.where("id = 3").first()[tables.REASONS]
+    assert list(both) == ["u is NULL", "t is longer than 2"] and spark.table(name).count() == 1
+
+
+def test_files_are_parsed_once(spark, path, database, monkeypatch):
+    """What the load and the rows left out read is the judged copy, not the files."""
+    name = f"{database}.Stage"
+    definitions.create_table(spark, name, "id INT, t STRING")
+    _csv(path, "rows.csv", "1,a\nx,b\n")
+    left_out = tables.copy_into(spark, name, ["id", "t"], path, "CSV", max_errors=1)
+    os.remove(f"{path}/rows.csv")
+    assert left_out.count() == 1 and spark.table(name).count() == 1
