@@ -145,6 +145,11 @@ def keep_history(dimension: DataFrame, staged: DataFrame, business_key: str, key
     return kept.select(*columns).unionByName(added)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    df.write.parquet(path := scratch(df.sparkSession, label))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def split_history(dimension: DataFrame, changes: DataFrame, business_key: str, key: str, changed_on: str) -> DataFrame:
     """Fit changes into a history, whenever they took effect.
 
@@ -160,6 +165,8 @@ def split_history(dimension: DataFrame, changes: DataFrame, business_key: str, k
     own = {key, business_key, "ValidFrom", "ValidTo", "IsCurrent"}
     attributes = [c for c in columns if c not in own]
     arriving = changes.select(business_key, F.col(changed_on).cast("date").alias("ValidFrom"), *attributes).distinct()
+    # Written: it is checked, fitted in, and tells which members are touched.
+    arriving = _written(arriving, "changes")
     require_unique(arriving, [business_key, "ValidFrom"], "changes")
     require_constraints(arriving, [business_key, "ValidFrom"], {}, "changes")
     members = arriving.select(business_key).distinct()
@@ -186,9 +193,7 @@ def split_history(dimension: DataFrame, changes: DataFrame, business_key: str, k
     ).select(
         key, business_key, "state.*", "ValidFrom", "ValidTo", (F.col("ValidTo") == F.lit(OPEN_END)).alias("IsCurrent")
     ).select(*columns)
-    path = scratch(dimension.sparkSession, "history")
-    rows.write.parquet(path)
-    rows = dimension.sparkSession.read.schema(rows.schema).parquet(path)
+    rows = _written(rows, "history")
     added = append_members(dimension, rows.where(F.col(key).isNull()), [business_key, "ValidFrom"], key)
     untouched = dimension.join(members, business_key, "left_anti")
     return untouched.select(*columns).unionByName(rows.where(F.col(key).isNotNull())).unionByName(added)

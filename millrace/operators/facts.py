@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import RANGE, ROW, at_edges, stored_ranges, with_carried
+from millrace.operators.ranges import RANGE, ROW, edges, stored_ranges, with_carried
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,10 @@ def as_of(facts: DataFrame, day: Column, lookup: Lookup) -> DataFrame:
     local = rows.withColumn("_last", F.last(_VALID, ignorenulls=True).over(along))
     # Of each member that reaches over ranges, the last history row of the ranges before.
     known = F.when(F.col(_VALID).isNotNull(), F.col(ROW))
-    latest = at_edges(rows, [_MEMBER]).groupBy(RANGE, _MEMBER).agg(F.max_by(_VALID, known).alias("newest"))
+    latest = rows.groupBy(RANGE, _MEMBER).agg(
+        F.max_by(_VALID, known).alias("newest"), F.min(ROW).alias("begin"), F.max(ROW).alias("end")
+    )
+    latest = edges(latest, "begin", "end")
     before = Window.partitionBy(_MEMBER).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     carried = latest.select(RANGE, _MEMBER, F.last("newest", ignorenulls=True).over(before).alias("_earlier"))
     joined = with_carried(local, carried, [_MEMBER], ["_earlier"]).where(F.col(_KIND) == 1)

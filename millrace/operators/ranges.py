@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import scratch, temporary
@@ -55,18 +55,16 @@ def same(left: str, right: str, columns: list[str]) -> Column:
     return condition
 
 
-def edge_groups(rows: DataFrame, group: list[str]) -> DataFrame:
-    """(RANGE, group columns) of the first and the last group of each range: only these reach into other ranges."""
-    member = F.struct(*group)
-    ends = rows.groupBy(RANGE).agg(F.min_by(member, ROW).alias("first"), F.max_by(member, ROW).alias("last"))
-    edge = ends.select(RANGE, F.explode(F.array_distinct(F.array("first", "last"))).alias("g"))
-    return edge.select(RANGE, *[F.col(f"g.{c}").alias(c) for c in group])
+def edges(summaries: DataFrame, begin: str, end: str) -> DataFrame:
+    """Of summaries per RANGE and group, those of the first and the last group of each range.
 
-
-def at_edges(rows: DataFrame, group: list[str]) -> DataFrame:
-    """The rows of groups that may reach into other ranges."""
-    edges = F.broadcast(edge_groups(rows, group))
-    return rows.alias("r").join(edges.alias("e"), same("r", "e", [RANGE, *group]), "left_semi")
+    Only these groups reach into other ranges. ``begin`` and ``end`` are the least
+    and the greatest ROW of the group in the range. The summaries are still
+    distributed by range, so this shuffles nothing; two rows per range are left.
+    """
+    of_range = Window.partitionBy(RANGE)
+    marked = summaries.withColumns({"_least": F.min(begin).over(of_range), "_greatest": F.max(end).over(of_range)})
+    return marked.where((F.col(begin) == F.col("_least")) | (F.col(end) == F.col("_greatest"))).drop("_least", "_greatest")
 
 
 def with_carried(rows: DataFrame, carried: DataFrame, group: list[str], columns: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import RANGE, ROW, at_edges, stored_ranges, with_carried
+from millrace.operators.ranges import RANGE, ROW, edges, stored_ranges, with_carried
 
 
 def _tile(row_number: Column, rows: Column, tiles: int) -> Column:
@@ -40,12 +40,16 @@ def _carried(rows: DataFrame, group: list[str], value: str) -> DataFrame:
     was before; ``_place`` is the place of the run that goes on from the range
     before, NULL if none does; ``_total`` is the size of the group.
     """
-    runs = at_edges(rows, group).groupBy(RANGE, *group, value).agg(F.count("*").alias("n"), F.min(ROW).alias("at"))
+    runs = rows.groupBy(RANGE, *group, value).agg(
+        F.count("*").alias("n"), F.min(ROW).alias("at"), F.max(ROW).alias("to")
+    )
     boxed = F.struct(value)
     parts = runs.groupBy(RANGE, *group).agg(
         F.sum("n").alias("rows"), F.count("*").alias("runs"), F.min_by(boxed, "at").alias("first"),
         F.max_by(boxed, "at").alias("last"), F.max_by("n", "at").alias("last_rows"),
+        F.min("at").alias("begin"), F.max("to").alias("end"),
     )
+    parts = edges(parts, "begin", "end")
     along = Window.partitionBy(*group).orderBy(RANGE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)

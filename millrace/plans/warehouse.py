@@ -83,6 +83,8 @@ def dim_multi_source(spark, folder):
     empty = spark.createDataFrame([], "PartyKey bigint, Origin string, PartyNo bigint")
     first = keymap.extended_map(empty, shop, "Origin", "PartyNo", "PartyKey")
     members = keymap.resolve(shop.unionByName(supply), "Origin", "PartyNo", F.col("Since"))
+    members.write.parquet(path := scratch(spark, "members"))
+    members = spark.read.schema(members.schema).parquet(path)
     known = keymap.extended_map(first, members, "Origin", "PartyNo", "PartyKey")
     return keymap.integrated(known, members, "Origin", "PartyNo")
 
@@ -142,21 +144,20 @@ def fact_point_in_time_key(spark, folder):
 
 def _late_changes(spark, folder):
     """Changes of many kinds: several in one load, before other rows, on the day a row began, without effect."""
-    who = customers(spark, folder)
-
-    def change(segment, day, city):
-        return who.where(F.col("Segment") == segment).select(
-            "CustomerNo", "CustomerName", city.alias("City"), F.lit(day).cast("date").alias("ChangedOn")
-        )
-
-    city, east = F.col("City"), F.concat(F.lit("EAST "), "City")
-    return (
-        change("HOUSEHOLD", "1996-03-01", east).union(change("HOUSEHOLD", "1997-05-01", east))
-        .union(change("HOUSEHOLD", "1998-01-01", city)).union(change("HOUSEHOLD", "1999-09-09", F.upper(east)))
-        .union(change("BUILDING", "1995-01-15", east)).union(change("BUILDING", "1998-07-01", city))
-        .union(change("FURNITURE", "1990-01-01", east)).union(change("AUTOMOBILE", "1997-01-01", city))
-        .union(change("MACHINERY", "1997-02-03", east))
-    )
+    city = F.col("City")
+    east = F.concat(F.lit("EAST "), city)
+    changes = {
+        "HOUSEHOLD": [("1996-03-01", east), ("1997-05-01", east), ("1998-01-01", city), ("1999-09-09", F.upper(east))],
+        "BUILDING": [("1995-01-15", east), ("1998-07-01", city)],
+        "FURNITURE": [("1990-01-01", east)],
+        "AUTOMOBILE": [("1997-01-01", city)],
+        "MACHINERY": [("1997-02-03", east)],
+    }
+    rows = F.coalesce(*[
+        F.when(F.col("Segment") == segment, F.array(*[F.struct(F.lit(day).cast("date").alias("ChangedOn"), c.alias("City")) for day, c in of]))
+        for segment, of in changes.items()
+    ])
+    return customers(spark, folder).select("CustomerNo", "CustomerName", F.inline(rows))
 
 
 def _late_history(spark, folder):
