@@ -80,11 +80,15 @@ def pack(
     spread = F.pmod(F.xxhash64("id", "source", "cluster", "words", "copy"), F.lit(shards))
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def known_first(value) -> tuple:
+        # Ids may be of any type: a null is only compared by the flag.
+        return (True,) if value is None else (False, value)
+
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         ids, sources, clusters, sizes = (rows.column(c).to_pylist() for c in ("id", "source", "cluster", "words"))
         order = sorted(
             range(len(ids)),
-            key=lambda i: (-(sizes[i] % capacity), ids[i] is None, ids[i] or 0, sources[i] or "", clusters[i] or ""),
+            key=lambda i: (-(sizes[i] % capacity), *map(known_first, (ids[i], sources[i], clusters[i]))),
         )
         # A document of whole pieces only has no rest to pack.
         rest = [i for i in order if sizes[i] % capacity or not sizes[i]]

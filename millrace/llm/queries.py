@@ -5,7 +5,6 @@ from __future__ import annotations
 import string
 
 import corpus_pipeline
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +15,11 @@ from millrace.llm.common import bucket_of_id, table
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 
 
-# The rank file of the tokenizer; read once by the driver, 0.8 MB.
-VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-
-
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    with open(VOCABULARY, "rb") as file:
+    import public_tokenizers  # what only this query needs
+
+    # The rank file of the tokenizer; read once by the driver, 0.8 MB.
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         vocabulary = file.read()
     ids = bpe.encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
     return bpe.decode(ids, vocabulary).select(
@@ -89,8 +87,8 @@ def op7_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame
 # Pages become lines at every tag; scripts, styles and comments go.
 _HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
-_HOST = r"^[a-z][a-z0-9+.-]*://([^/?#:]+)"
-PAGE_RATIO, PAGE_LEAST = 0.1, 5
+_HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+PAGE_RATIO = lines.RATIO
 
 
 def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +96,7 @@ def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
     shown = F.regexp_replace(F.regexp_replace("html", _HIDDEN, "\n"), _TAG, "\n")
     rows = F.filter(F.transform(F.split(shown, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     host = F.coalesce(F.regexp_extract(F.lower("url"), _HOST, 1), F.lit(""))
-    found = lines.without_boilerplate(pages, host, rows, PAGE_RATIO, PAGE_LEAST)
+    found = lines.without_boilerplate(pages, host, rows, PAGE_RATIO)
     return found.select(
         "page_id",
         host.alias("host"),
@@ -119,7 +117,7 @@ once AS (SELECT host, unnest(list_distinct(found)) AS line FROM shown),
 totals AS (SELECT host, count(*) AS n FROM shown GROUP BY host),
 bad AS (
     SELECT o.host, o.line FROM once o JOIN totals t USING (host)
-    GROUP BY o.host, o.line, t.n HAVING count(*) >= {PAGE_LEAST} AND count(*) > {PAGE_RATIO} * t.n),
+    GROUP BY o.host, o.line, t.n HAVING count(*) > 1 AND count(*) - 1 > {PAGE_RATIO}::DOUBLE * (t.n - 1)),
 lists AS (SELECT host, list(line) AS lines FROM bad GROUP BY host),
 kept AS (
     SELECT page_id, host, found, list_filter(found, lambda x: NOT coalesce(list_contains(lines, x), false)) AS body
@@ -171,12 +169,14 @@ def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.summary(repair.repair(damaged(table(spark, folder, "conversations")), present=F.col("kept")))
 
 
-# The definition of the word tokenizer, and the id that ends a document.
-WORDS_FILE, END_ID = public_tokenizers.path("word_bpe_49k.json"), 2
+# Fixed value: the id that ends a document.
+END_ID = 2
 
 
 def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    with open(WORDS_FILE, encoding="utf-8") as file:
+    import public_tokenizers  # what only this query needs
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         definition = file.read()
     manifest = tokenfiles.write(table(spark, folder, "documents"), definition, end_id=END_ID)
     return tokenfiles.read(manifest, "bigint")

@@ -313,12 +313,12 @@ def test_boilerplate_lines(spark):
     rows = [(i, "h", f"menu\nbody {i}\n\nmenu\nfoot {i % 4}") for i in range(20)] + [(50 + i, "g", "menu\nx") for i in range(3)]
     rows += [(90, None, None), (91, None, ""), (92, "h", "menu")]
     pages = spark.createDataFrame(rows, "page_id bigint, host string, text string")
-    found = lines.without_boilerplate(pages, F.col("host"), F.split("text", "\n"), ratio=0.3, min_pages=5)
+    found = lines.without_boilerplate(pages, F.col("host"), F.split("text", "\n"), ratio=0.3)
     kept = {r["page_id"]: r["line_kept"] for r in found.collect()}
-    assert kept[3] == ["body 3", "", "foot 3"] and kept[51] == ["menu", "x"]  # too few pages on host g
+    assert kept[3] == ["body 3", "", "foot 3"] and kept[51] == []  # both lines stand on all pages of host g
     assert kept[90] is None and kept[91] == [""] and kept[92] == []
     odd = pages.withColumns({c: F.lit(1) for c in ("bad", "line_host", "line_kept", "line_bad")})
-    same = lines.without_boilerplate(odd, F.col("host"), F.split("text", "\n"), ratio=0.3, min_pages=5)
+    same = lines.without_boilerplate(odd, F.col("host"), F.split("text", "\n"), ratio=0.3)
     assert same.columns == [*odd.columns, "line_all", "line_kept_"]
     assert {r["page_id"]: r["line_kept_"] for r in same.collect()} == kept
 
@@ -391,3 +391,23 @@ def test_equal_rows_are_dealt_to_many_shards(spark):
     assert len(found) == 900 and len({r["bin_id"] for r in found}) == 900
     sizes = Counter(r["bin_id"] // packing.SHARD_BINS for r in found)
     assert len(sizes) == 9 and max(sizes.values()) < 200
+
+
+def test_ids_of_any_type_are_packed(spark):
+    """Equal sizes are decided by the id, whatever its type, and by source and cluster where ids are null."""
+    for kind, ids in (("string", ["", "b", None, "a", None]), ("double", [1.5, None, 0.0, -1.0, None]), ("date", [None] * 5)):
+        rows = [(i, "one two", s) for i, s in zip(ids, ["x", None, "y", "", "x"])]
+        df = spark.createDataFrame(rows, f"doc_id {kind}, text string, source string")
+        found = packing.pack(df, F.when(F.col("source") == "x", 1)).collect()
+        assert len(found) == 5 and {r["n_words"] for r in found} == {2}
+        assert sorted(map(repr, (r["doc_id"] for r in found))) == sorted(map(repr, ids))
+
+
+def test_lines_of_small_hosts(spark):
+    """A page is no witness against its own lines, so hosts need no least number of pages."""
+    rows = [(1, "one", "a\nb"), (2, "two", "a\nb"), (3, "two", "a\nc"), (4, "three", "a"), (5, "three", "b"), (6, "three", "c")]
+    pages = spark.createDataFrame(rows, "page_id int, host string, text string")
+    found = lines.without_boilerplate(pages, F.col("host"), F.split("text", "\n"), ratio=0.1)
+    assert {r["page_id"]: r["line_kept"] for r in found.collect()} == {
+        1: ["a", "b"], 2: ["b"], 3: ["c"], 4: ["a"], 5: ["b"], 6: ["c"],
+    }
