@@ -1,12 +1,13 @@
 """Chat formatting into budgeted, turn-aligned windows.
 
-Each turn costs its words plus a few for its marks. Prefix sums of these costs
-cut long conversations into segments, which are formatted independently: sums
-within ranges of turn numbers first, then over the ranges, so that a very long
+Each turn costs the tokens of its formatted text under a given vocabulary, or
+without one its characters. Prefix sums of these costs cut long conversations into
+segments, which are formatted independently: turns are put in ranges of one total
+order, sums are taken within ranges and carried over, so that a very long
 conversation needs no task of its own. Inside a segment windows are filled turn
 by turn. A window that does not begin the conversation repeats the system turn
-and a limited history; repeated turns are never under the loss mask, so every
-assistant text is a target once.
+and a limited history as far as they fit beside its first new turn; repeated turns
+are never under the loss mask, so every assistant text is a target once.
 
 Template: ``### role:`` and a line break, the text, ``</turn>`` and a line break.
 Backslash, ``#`` and ``<`` are escaped with a backslash in texts, also ``:`` in
@@ -24,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WHITE, text_of
+from millrace.llm.bpe import ranks_of
+from millrace.llm.common import staged, text_of
+from millrace.operators.ranges import RANGE, ROW, edges, stored_ranges, with_carried
 
 BUDGET, HISTORY = 512, 128
-# A segment has room for this many windows; turn numbers are summed in ranges first.
-SEGMENT_WINDOWS, TURN_RANGE = 16, 1024
-MARK_COST = 4
+# A segment has room for this many windows.
+SEGMENT_WINDOWS = 16
 SYSTEM, TARGET = "system", "assistant"
 
 _TEXT_MARKS, _ROLE_MARKS = re.compile(r"[\\#<]"), re.compile(r"[\\#<:]")
@@ -56,6 +58,30 @@ def parse(text: str) -> Iterator[tuple[str, str]]:
         at = found.end()
 
 
+def formatted(role: str, text: str) -> tuple[str, str, str]:
+    """Head, body and tail of a turn."""
+    return f"### {escape(role, _ROLE_MARKS)}:\n", escape(text), "</turn>\n"
+
+
+def _costed(rows: DataFrame, vocabulary: bytes | None, pattern: str | None) -> DataFrame:
+    """Rows (conv, turn, role, text) with the cost of each turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len
+        if vocabulary is not None:
+            import tiktoken
+
+            tokens = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks_of(vocabulary), special_tokens={})
+            size = lambda text: len(tokens.encode_ordinary(text))
+        for batch in batches:
+            turns = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            costs = pa.array([size("".join(formatted(*t))) for t in turns], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, costs], [*batch.schema.names, "cost"])
+
+    kind = rows.schema["conv"].dataType.simpleString()
+    return rows.mapInArrow(run, f"conv {kind}, turn bigint, role string, text string, cost bigint")
+
+
 class _Writer:
     """Windows of one segment, from its turns in order; holds one window and the history at most."""
 
@@ -91,8 +117,9 @@ class _Writer:
         return done
 
     def _prefix(self, cost: int) -> list[tuple]:
-        kept = [self.system] if self.system else []
-        room = self.budget - cost - sum(t[2] for t in kept)
+        room = self.budget - cost
+        kept = [self.system] if self.system and self.system[2] <= room else []
+        room -= sum(t[2] for t in kept)
         past: list[tuple] = []
         for turn in reversed(self.past):
             room -= turn[2]
@@ -109,11 +136,11 @@ class _Writer:
         for i, (role, text, _) in enumerate(self.repeated + self.turns):
             if i == len(self.repeated):
                 begin = size
-            head, body = f"### {escape(role, _ROLE_MARKS)}:\n", escape(text)
+            head, body, tail = formatted(role, text)
             if i >= len(self.repeated) and role == TARGET:
                 spans.append({"start": size + len(head), "end": size + len(head) + len(body)})
-            out += [head, body, "</turn>\n"]
-            size += len(head) + len(body) + 8
+            out += [head, body, tail]
+            size += len(head) + len(body) + len(tail)
         cost = self.cost
         self.turns, self.repeated, self.cost = [], [], 0
         return "".join(out), begin, spans, cost
@@ -127,38 +154,39 @@ def windows(
     turn_col: str = "turn",
     role_col: str = "role",
     text_col: str = "text",
+    vocabulary: bytes | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """(id_col, segment, window, text, new_from, loss, cost): the windows of each conversation in order.
 
     ``new_from`` is where new turns begin after repeated ones, ``loss`` the spans
-    (code points, end exclusive) of assistant texts to learn. No window costs
-    more than ``budget`` unless its only new turn does: turns are never cut.
-    Null roles and texts count as empty. Turns of one number (repeated rows
-    included, each kept) are ordered by role and text, null numbers come first;
-    rows without an id are one conversation. An empty table gives no rows.
+    (code points, end exclusive) of assistant texts to learn. Costs, ``budget`` and
+    ``history`` are in tokens of ``vocabulary`` (a rank file's content, with the
+    ``pattern`` that splits texts), else in characters. No window costs more than
+    ``budget`` unless its only new turn does, which then stands alone: turns are
+    never cut. A system turn that leaves no room for a new turn is not repeated
+    beside it. Null roles and texts count as empty. Turns of one number (repeated
+    rows included, each kept) are ordered by role and text, null numbers come first;
+    rows without an id are one conversation. An empty table gives no rows. Other
+    columns are not read, whatever their names.
     """
     if history >= budget:
         raise ValueError("the history must be smaller than the budget")
-    words = F.size(F.filter(F.split(F.col("text"), WHITE), lambda x: x != ""))
     rows = turns.select(
         F.col(id_col).alias("conv"), F.col(turn_col).cast("bigint").alias("turn"),
         text_of(role_col).alias("role"), text_of(text_col).alias("text"),
-    ).withColumns({
-        "cost": (words + MARK_COST).cast("bigint"),
-        "range": F.coalesce(F.floor(F.col("turn") / TURN_RANGE), F.lit(-(1 << 62))).cast("bigint"),
-    })
-    order = Window.partitionBy("conv", "range").orderBy("turn", "role", "text")
-    inside = F.sum("cost").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ranges = rows.groupBy("conv", "range").agg(F.sum("cost").alias("cost"))
-    over = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(
-        F.col("conv").alias("c"), F.col("range").alias("r"), F.coalesce(F.sum("cost").over(over), F.lit(0)).alias("base")
-    )
+    )
+    # Written with their costs, which would else be counted again for the bounds of the ranges.
+    rows = staged(_costed(rows, vocabulary, pattern), "turns")
+    rows = stored_ranges(rows, [F.col(c) for c in ("conv", "turn", "role", "text")])
+    inside = F.sum("cost").over(Window.partitionBy(RANGE, "conv").orderBy(ROW).rowsBetween(Window.unboundedPreceding, -1))
+    parts = rows.groupBy(RANGE, "conv").agg(F.sum("cost").alias("total"), F.min(ROW).alias("begin"), F.max(ROW).alias("end"))
+    over = Window.partitionBy("conv").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    base = edges(parts, "begin", "end").select(RANGE, "conv", F.sum("total").over(over).alias("base"))
     length = SEGMENT_WINDOWS * budget
     placed = (
-        rows.withColumn("inside", F.coalesce(inside, F.lit(0)))
-        .join(ranges, F.col("conv").eqNullSafe(F.col("c")) & (F.col("range") == F.col("r")))
-        .withColumn("before", F.col("inside") + F.col("base"))
+        with_carried(rows.withColumn("inside", inside), base, ["conv"], ["base"])
+        .withColumn("before", F.coalesce("inside", F.lit(0)) + F.coalesce("base", F.lit(0)))
         .withColumn("segment", F.floor(F.col("before") / length).cast("bigint"))
         .select("conv", "segment", "before", "role", "text", "cost")
     )

@@ -14,6 +14,8 @@ count the links; nothing is emitted but a count for each vector and block.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,11 +25,27 @@ from millrace.llm.common import staged
 from millrace.llm.components import components
 from millrace.operators.keys import ordered_positions
 
-PASSES, WINDOW, HASHES = 16, 64, 48
+WINDOW, HASHES = 64, 48
+# The share of pairs at the threshold that the passes are to meet; more passes than these at least.
+RECALL, LEAST_PASSES = 0.99, 16
 BLOCK_ROWS, TILE_ROWS = 2048, 1024
 SEED = 20
 
 
+def passes_for(n: int, threshold: float, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Passes after which a pair at the threshold was in one window with the wanted chance.
+
+    A random hash agrees on the two with chance 1 - angle / pi. To stand within a
+    window among ``n`` vectors in order they must agree on the first log2(n / window)
+    hashes or so, the more the larger the table; passes are independent.
+    """
+    agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    met = agree ** max(0.0, math.log2(max(n, 1) / window))
+    if met >= 1:
+        return LEAST_PASSES
+    return max(LEAST_PASSES, math.ceil(math.log(1 - recall) / math.log(1 - met)))
+
+
 def usable(column: str) -> Column:
     """Whether a vector is not null, not empty, all finite and not zero."""
     x = F.col(column)
@@ -47,14 +65,16 @@ def _hashes(points: DataFrame, passes: int) -> DataFrame:
     """(d, pass, hash, id): one narrow row per vector and pass."""
 
     def run(batches):
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             sizes = np.array(batch.column(1))
             for d in np.unique(sizes).tolist():
                 part = batch.filter(pa.array(sizes == d))
                 x = _matrix(pa.chunked_array([part.column(2)]))
                 for p in range(passes):
-                    planes = np.random.default_rng((SEED, p, d)).normal(size=(d, HASHES))
-                    bits = (x @ planes > 0).astype(np.int64) << np.arange(HASHES - 1, -1, -1)
+                    if (p, d) not in planes:
+                        planes[p, d] = np.random.default_rng((SEED, p, d)).normal(size=(d, HASHES))
+                    bits = (x @ planes[p, d] > 0).astype(np.int64) << np.arange(HASHES - 1, -1, -1)
                     n = len(part)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(1), pa.array(np.full(n, p, np.int32)), pa.array(bits.sum(axis=1)), part.column(0)],
@@ -120,8 +140,9 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda t: F.struct(F.least("tile", t).alias("i"), F.greatest("tile", t).alias("j")),
     )
-    # Small components share groups; pairs of different components are masked.
-    bundle = F.when(F.col("m") > 64, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(1 << 20)))
+    # Small components share groups of about TILE_ROWS vectors; pairs of different components are masked.
+    bundles = members.count() // TILE_ROWS + 1
+    bundle = F.when(F.col("m") > 64, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bundles)))
     dealt = tiled.withColumn("meet", F.explode(meets)).select(
         F.when(F.col("m") > 64, F.lit(1)).otherwise(F.lit(0)).alias("large"), bundle.alias("bundle"), "meet.i", "meet.j",
         "root", "tile", "id", "copies", "v",
@@ -153,8 +174,9 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(
     rows: DataFrame,
     threshold: float = 0.95,
-    passes: int = PASSES,
+    passes: int | None = None,
     window: int = WINDOW,
+    recall: float = RECALL,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -166,7 +188,11 @@ def near_duplicates(
     nor do vectors of different lengths with each other. Equal vectors are one
     class from the start and link with each other; repeated rows are rows of
     their own. Rows without an id count as copies, and are never the smallest.
-    An empty table gives no rows. Other columns are not read.
+    An empty table gives no rows. Other columns are not read, whatever their names.
+
+    Without ``passes`` there are as many as the number of different vectors needs
+    for ``recall`` (see ``passes_for``). A pair that no window shows is still
+    counted if other links put both into one component.
     """
     good = usable(vector_col)
     # Components keep their type (floats take half the room of doubles); -0.0 becomes 0.0.
@@ -175,6 +201,7 @@ def near_duplicates(
     marked = rows.select(F.col(id_col).alias("id"), F.when(good, plain).alias("v"))
     classes = marked.where("v IS NOT NULL").groupBy("v").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     classes = staged(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("d", F.size("v")), "vectors")
+    passes = passes or passes_for(classes.count(), threshold, window, recall)
     links = staged(window_links(classes, threshold, passes, window), "links")
     # Roots carry the smallest id of a row; class numbers stand in during the contraction.
     roots = staged(components(links, "a", "b").withColumnRenamed("node", "id"), "roots")

@@ -4,23 +4,27 @@ Three patterns find credentials of known kinds. Their values are the labelled
 examples from which a probabilistic automaton is inferred for each kind: a
 prefix tree counts the examples, and states are merged as long as their
 frequencies are statistically compatible (Hoeffding's bound, with alpha the
-chance of refusing a right merge). A further automaton learns ordinary long
-tokens. Every long token outside the known spans is then scored by the log ratio
-of its likelihood under the best credential format and under the ordinary one.
+chance of refusing a right merge). Classes of characters cannot tell a word in
+capitals from a key, so ordinary tokens are described by their letters: counts of
+symbol triples and of the use of capitals over the distinct tokens of all texts. Every token outside the
+known spans, of any length, is then scored by the log ratio of its likelihood under
+the best credential format (or as characters at random, for keys of no known
+format) and as an ordinary token; the ends of tokens count in both.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_of
+from millrace.llm.common import staged, text_of
 
 # The patterns of the known kinds, in the order kinds are listed.
 ASSIGN = re.compile(
@@ -33,13 +37,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex")
 LEARNT = "format"
 
-# Long tokens that are scored by format.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-# Examples a format is learnt from, per kind, and the longest one: documented bounds.
-MAX_EXAMPLES, MAX_EXAMPLE_CHARS = 500, 128
+# What may stand in a token; dots, dashes and the like at its ends belong to the sentence.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=])?")
+# Examples a format is learnt from, per kind, and the characters of all of them: documented bounds.
+MAX_EXAMPLES, MAX_EXAMPLE_CHARS = 500, 100_000
 ALPHA = 0.05
 # Natural logarithm of how much likelier a credential format must be.
-MARGIN = 12.0
+MARGIN = 10.0
 
 # Character classes and how many characters each stands for.
 CLASS_OF = {c: "x" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"}
@@ -47,6 +51,23 @@ CLASS_OF |= {c: "U" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: "0" for c in "0
 CLASS_OF |= {c: "+" for c in "+/_.=-"}
 CLASS_SIZE = {"x": 6, "l": 20, "U": 26, "0": 10, "+": 6}
 _CLASSES = str.maketrans(CLASS_OF)
+# Symbols of ordinary tokens: 0 for the ends, letters without case, one for all digits, marks.
+_SYMBOLS = "abcdefghijklmnopqrstuvwxyz0+/_.=-"
+SYMBOLS = len(_SYMBOLS) + 1
+_TO_SYMBOL = bytes(
+    _SYMBOLS.find("0" if chr(b).isdigit() else chr(b).lower()) + 1 if b < 128 and (chr(b).isalnum() or chr(b) in "+/_.=-") else 0
+    for b in range(256)
+)
+CASES = ("lower", "capital", "upper", "mixed")
+# Tokens whose verdict a task remembers.
+_KNOWN_TOKENS = 1 << 19
+# Credentials of no known format: characters at random, and a length spread as a gamma
+# distribution of this shape and scale (32 characters in the mean, hardly any below 8).
+ANY_SIZE, ANY_SHAPE, ANY_SCALE = 64, 4, 8
+# Rows per kind that one task of the first merging step keeps at most: MAX_EXAMPLES; and the steps' width.
+_BUCKETS = 64
+# The kind of rows that hold tokens instead of examples.
+_TOKEN = len(KINDS)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -58,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, known: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long tokens that overlap no known span; ``known`` is ordered by start."""
+    """Tokens that overlap no known span; ``known`` is ordered by start."""
     out, at, end = [], 0, 0
     for m in CANDIDATE.finditer(text):
         # The furthest end of the spans that begin before the token's end.
@@ -78,6 +99,7 @@ class Automaton:
         self._next: list[dict[str, int]] = [{}]
         self._count: list[dict[str, int]] = [defaultdict(int)]
         self._ends, self._visits = [0], [0]
+        self._sizes = Counter(map(self._size, examples))
         for word in examples:
             self._add(word.translate(_CLASSES))
         self._merge_all()
@@ -162,6 +184,15 @@ class Automaton:
             out.append(logs)
         return out
 
+    @staticmethod
+    def _size(word: str) -> int:
+        """Length in half octaves."""
+        return round(2 * math.log2(max(len(word), 1)))
+
+    def length_score(self, word: str) -> float:
+        """Log likelihood of a length: merged states forget how long the examples were."""
+        return math.log((self._sizes[self._size(word)] + 0.05) / (self._sizes.total() + 1))
+
     def score(self, classes: str) -> float:
         """Log likelihood of a string given as character classes."""
         logs, state, total = self._logs, 0, 0.0
@@ -171,49 +202,157 @@ class Automaton:
         return total + logs[state][""][0]
 
 
+def case_of(token: str) -> int:
+    """Place in CASES: how a token uses capitals."""
+    if token == token.lower():
+        return 0
+    if token == token.upper():
+        return 2
+    return 1 if token[1:] == token[1:].lower() else 3
+
+
+class Plain:
+    """Ordinary tokens: which symbol follows which two, and how capitals are used, counted over distinct tokens.
+
+    What a single token shows is not counted: else a key would explain itself.
+    """
+
+    # A context's estimate weighs as much as that of the shorter one after so many occurrences.
+    TRUST = 5.0
+    # What no text shows is rare, not impossible: a word of another language is no key.
+    SURPRISE, RAREST = 0.1, 0.01
+
+    def __init__(self, triples: np.ndarray, cases: np.ndarray):
+        counts = np.maximum(triples.reshape(SYMBOLS, SYMBOLS, SYMBOLS) - 1.0, 0)
+        single = counts.sum(axis=(0, 1)) + 1.0
+        single /= single.sum()
+        double = counts.sum(axis=0)
+        double = (double + self.TRUST * single) / (double.sum(axis=1, keepdims=True) + self.TRUST)
+        chance = (counts + self.TRUST * double) / (counts.sum(axis=2, keepdims=True) + self.TRUST)
+        chance = (1 - self.SURPRISE) * chance + self.SURPRISE / SYMBOLS
+        chance[:, :, _TO_SYMBOL[ord("0")]] /= 10  # one symbol for ten digits
+        self._logs = np.log(chance).ravel().tolist()
+        share = (cases + 1.0) / (cases.sum() + len(CASES))
+        self._cases = np.log(np.maximum(share, self.RAREST)).tolist()
+
+    def score(self, token: str) -> float:
+        """Log likelihood of a token."""
+        logs, at, case = self._logs, 0, case_of(token)
+        # In mixed tokens every letter's case is free.
+        total = self._cases[case] - (math.log(2) * sum(map(str.isalpha, token)) if case == 3 else 0.0)
+        for s in token.encode("ascii").translate(_TO_SYMBOL) + b"\0":
+            at = at * SYMBOLS % SYMBOLS**3 + s
+            total += logs[at]
+        return total
+
+
 class Formats:
-    """Automata of the credential kinds and of ordinary tokens."""
+    """Automata of the credential kinds, and ordinary tokens to tell them from."""
 
-    def __init__(self, examples: dict[int, list[str]]):
+    def __init__(self, examples: dict[int, list[str]], plain: Plain):
         self.kinds = [Automaton(examples[k]) for k in range(len(KINDS)) if examples.get(k)]
-        self.plain = Automaton(examples.get(len(KINDS), []))
+        self.plain = plain
+        self._known: dict[str, bool] = {}
+
+    def score(self, token: str) -> float:
+        """By how much the likeliest credential format is likelier than an ordinary token."""
+        # A format written in capitals is the same format.
+        forms = {token, token.lower()} if token == token.upper() else {token}
+        shown = [form.translate(_CLASSES) for form in forms]
+        n = len(token)
+        length = (ANY_SHAPE - 1) * math.log(n) - n / ANY_SCALE - math.lgamma(ANY_SHAPE) - ANY_SHAPE * math.log(ANY_SCALE)
+        any_format = length - n * math.log(ANY_SIZE)
+        best = max([any_format, *[a.score(x) + a.length_score(x) for a in self.kinds for x in shown]])
+        return best - self.plain.score(token)
 
     def is_secret(self, token: str) -> bool:
-        classes = token.translate(_CLASSES)
-        best = max((a.score(classes) for a in self.kinds), default=-math.inf)
-        return best - self.plain.score(classes) > MARGIN
+        """Whether a token is a credential; without any known credential none is."""
+        known = self._known.get(token)
+        if known is None:
+            if len(self._known) >= _KNOWN_TOKENS:
+                self._known.clear()
+            known = self._known[token] = bool(self.kinds) and self.score(token) > MARGIN
+        return known
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_known": {}}
 
-def learn(docs: DataFrame, text_col: str = "text") -> Formats:
-    """Formats from the known kinds' values and from the other long tokens of all texts.
 
-    From each kind come at most MAX_EXAMPLES distinct values of at most
-    MAX_EXAMPLE_CHARS characters, those of the smallest hash: a bounded sample
-    for learning only. Kinds without a value get no format.
+def learn(docs: DataFrame, text_col: str = "text") -> Formats:
+    """Formats from the known kinds' values, told from all other tokens of all texts.
+
+    From each kind come the distinct values of the smallest hashes, at most
+    MAX_EXAMPLES and MAX_EXAMPLE_CHARS characters: a bounded sample for learning
+    only, taken by each task first and then in two steps. All other distinct tokens
+    of all texts are counted, by a table of symbol triples. Kinds without a value
+    get no format; without any, nothing but the known kinds is found. Null texts
+    count as empty; repeated rows change nothing; an
+    empty table teaches nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        kept: list[dict[str, int]] = [{} for _ in KINDS]
+        tokens: set[str] = set()
+
+        def smallest(values: dict[str, int]) -> dict[str, int]:
+            return dict(sorted(values.items(), key=lambda x: (x[1], x[0]))[:MAX_EXAMPLES])
+
+        def rows(cells: list[tuple]) -> pa.RecordBatch:
+            types = [pa.int32(), pa.int64(), pa.string()]
+            columns = zip(*cells, strict=True) if cells else [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["kind", "h", "value"])
+
         for batch in batches:
-            kinds, values = [], []
             for cell in batch.column(0):
                 text = cell.as_py()
                 known = base_spans(text)
-                kinds += [b[2] for b in known]
-                values += [b[3] for b in known]
-                other = [c[2] for c in candidates(text, known)]
-                kinds += [len(KINDS)] * len(other)
-                values += other
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(values, pa.string())], ["kind", "value"])
-
-    found = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "kind int, value string")
-    found = found.where(F.length("value") <= MAX_EXAMPLE_CHARS).withColumn("h", F.xxhash64("value"))
-    # Each task passes on only its smallest hashes, so no kind is gathered whole.
-    order = Window.partitionBy("kind").orderBy("h", "value")
-    chosen = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= MAX_EXAMPLES)
+                for *_, kind, value in known:
+                    if value not in kept[kind]:
+                        kept[kind][value] = xxhash.xxh64_intdigest(value) >> 1
+                tokens.update(token for _, _, token in candidates(text, known))
+                for k, values in enumerate(kept):
+                    if len(values) > 4 * MAX_EXAMPLES:
+                        kept[k] = smallest(values)
+                if len(tokens) > _KNOWN_TOKENS:
+                    yield rows([(_TOKEN, None, t) for t in tokens])
+                    tokens.clear()
+        yield rows([(_TOKEN, None, t) for t in tokens])
+        yield rows([(k, h, v) for k, values in enumerate(kept) for v, h in smallest(values).items()])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        triples, cases = np.zeros(SYMBOLS**3, np.int64), np.zeros(len(CASES), np.int64)
+        for batch in batches:
+            for token in batch.column(0).to_pylist():
+                at = 0
+                for s in token.encode("ascii").translate(_TO_SYMBOL) + b"\0":
+                    at = at * SYMBOLS % SYMBOLS**3 + s
+                    triples[at] += 1
+                cases[case_of(token)] += 1
+        at = np.concatenate([np.nonzero(triples)[0], SYMBOLS**3 + np.nonzero(cases)[0]])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate([triples, cases])[at])], ["at", "n"])
+
+    found = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "kind int, h bigint, value string")
+    found = staged(found, "tokens")
+    distinct = found.where(F.col("kind") == _TOKEN).select("value").distinct()
+    counts = distinct.mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    # One row per symbol triple and use of capitals at most, whatever the corpus.
+    every = np.zeros(SYMBOLS**3 + len(CASES), np.int64)
+    for row in counts.collect():
+        every[row["at"]] = row["n"]
+    triples, cases = every[: SYMBOLS**3], every[SYMBOLS**3 :]
+    chosen = found.where(F.col("kind") < _TOKEN).select("kind", "h", "value").distinct()
+    for by in (["kind", F.pmod("h", F.lit(_BUCKETS))], ["kind"]):
+        order = Window.partitionBy(*by).orderBy("h", "value")
+        chosen = chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= MAX_EXAMPLES).drop("rank")
     examples: dict[int, list[str]] = defaultdict(list)
-    for row in chosen.orderBy("kind", "rank").collect():
-        examples[row["kind"]].append(row["value"])
-    return Formats(examples)
+    chars: dict[int, int] = defaultdict(int)
+    for row in sorted(chosen.withColumn("size", F.length("value")).where(F.col("size") <= MAX_EXAMPLE_CHARS).drop("size").collect()):
+        if chars[row["kind"]] + len(row["value"]) <= MAX_EXAMPLE_CHARS:
+            chars[row["kind"]] += len(row["value"])
+            examples[row["kind"]].append(row["value"])
+    return Formats(examples, Plain(triples, cases))
 
 
 def spans_of(text: str, formats: Formats) -> list[tuple[int, int, int]]:

@@ -149,7 +149,7 @@ def test_chat_windows_keep_every_turn(spark):
             for c in (1, 2, None) for t in range(40)]
     rows += [rows[3], (4, None, "assistant", "x"), (4, None, "assistant", "x")]
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    found = chat.windows(turns, budget=40, history=12).collect()
+    found = chat.windows(turns, budget=120, history=50).collect()
     windows = defaultdict(list)
     for w in found:
         windows[w["conv_id"]].append(w)
@@ -164,16 +164,46 @@ def test_chat_windows_keep_every_turn(spark):
         assert loss == [x for r, x in expected if r == "assistant"]
         for w in own:
             new = list(chat.parse(w["text"][w["new_from"] :]))
-            assert w["cost"] <= 40 or len(new) == 1
             repeated = list(chat.parse(w["text"][: w["new_from"]]))
-            if expected[0][0] == "system" and w is not own[0]:
+            assert w["cost"] == len(w["text"]) and (w["cost"] <= 120 or len(new) == 1 and not repeated)
+            system = len("".join(chat.formatted(*expected[0])))
+            if expected[0][0] == "system" and w is not own[0] and system + len("".join(chat.formatted(*new[0]))) <= 120:
                 assert repeated[0] == expected[0]
-    digest = {r["conv_id"]: r for r in chat.read_back(chat.windows(turns, 40, 12)).collect()}
+    digest = {r["conv_id"]: r for r in chat.read_back(chat.windows(turns, 120, 50)).collect()}
     body = "".join(f"{r}\n{x}\n" for r, x in [t[1:] for t in sorted(plain[1])])
     assert digest[1]["turns_sha256"] == hashlib.sha256(body.encode()).hexdigest() and digest[4]["n_turns"] == 2
     assert chat.windows(turns.limit(0)).count() == 0
 
 
+def test_a_long_system_turn_and_text_without_blanks(spark):
+    """A window never costs more than the budget unless its one new turn does; costs are tokens."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        vocabulary = file.read()
+    tokens = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks_of(vocabulary), special_tokens={}
+    )
+    rows = [(1, 0, "system", "rule " * 120)] + [(1, t, ("user", "assistant")[t % 2], "word " * 30) for t in range(1, 40)]
+    rows += [(2, t, "assistant", "中文字符" * 40) for t in range(30)] + [(3, 0, "system", "s " * 600), (3, 1, "user", "x")]
+    # All turns of one number: spread over ranges all the same.
+    rows += [(4, None, "user", f"turn {t}") for t in range(300)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    odd = turns.withColumns({c: F.lit(1) for c in ("conv", "cost", "segment", "range", "copies")})
+    found = chat.windows(odd, 256, 64, vocabulary=vocabulary, pattern=public_tokenizers.PATTERN).collect()
+    for w in found:
+        turns_in = list(chat.parse(w["text"]))
+        assert w["cost"] == sum(len(tokens.encode_ordinary("".join(chat.formatted(*t)))) for t in turns_in)
+        assert w["cost"] <= 256 or len(turns_in) == 1
+    by = defaultdict(list)
+    for w in found:
+        by[w["conv_id"]].append(w)
+    assert len(by[2]) > 10 and all(w["text"].startswith("### system") for w in by[1])
+    assert sum(len(list(chat.parse(w["text"][w["new_from"] :]))) for w in by[4]) == 300
+    assert chat.windows(odd.where("conv_id = 3"), 256, 64).count() == 2
+
+
 def test_known_secrets_and_learnt_formats(spark, docs, none):
     rng = random.Random(2)
 
@@ -309,6 +339,27 @@ def test_embedding_links_equal_brute_force(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
 
+def test_passes_follow_the_size_of_the_table(spark):
+    assert neighbours.passes_for(1000, 0.95) == neighbours.LEAST_PASSES
+    wanted = [neighbours.passes_for(n, 0.95) for n in (10**7, 10**8, 10**9, 10**10)]
+    assert wanted == sorted(set(wanted)) and wanted[0] > neighbours.LEAST_PASSES
+    # A window of one place makes a small table as hard as a large one: pairs at the
+    # threshold, strangers otherwise.
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 24))
+    y = rng.normal(size=(3000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.9501 * x + np.sqrt(1 - 0.9501**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("id", F.lit(1)).withColumn("v", F.lit(2))
+    assert neighbours.passes_for(6000, 0.95, 1, 0.999) > neighbours.LEAST_PASSES
+    found = neighbours.near_duplicates(df, window=1, recall=0.999).where("n_links > 0").count()
+    assert found >= 6000 * 0.985
+    fewer = neighbours.near_duplicates(df, passes=4, window=1).where("n_links > 0").count()
+    assert abs(fewer / 6000 - (1 - (1 - (1 - math.acos(0.95) / math.pi) ** math.log2(6000)) ** 4)) < 0.06
+
+
 def test_boilerplate_lines(spark):
     rows = [(i, "h", f"menu\nbody {i}\n\nmenu\nfoot {i % 4}") for i in range(20)] + [(50 + i, "g", "menu\nx") for i in range(3)]
     rows += [(90, None, None), (91, None, ""), (92, "h", "menu")]
