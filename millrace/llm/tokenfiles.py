@@ -242,6 +242,20 @@ def _cut(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+class _Remembered(dict):
+    """Answers by key, worked out when first asked for and forgotten when there are too many."""
+
+    def __init__(self, answer: Callable[[str], bytes], most: int):
+        super().__init__()
+        self._answer, self._most = answer, most
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self._most:
+            self.clear()
+        found = self[key] = self._answer(key)
+        return found
+
+
 class Encoder:
     """Ids of texts as the tokenizer library gives them, without special tokens added.
 
@@ -263,14 +277,15 @@ class Encoder:
             # White space is Unicode's property; this library's own class also holds four ASCII separators.
             self._split = regex.compile(rules[0].replace(r"\s", r"\p{White_Space}")).findall
             self._special = rules[1]
-            self._high = regex.compile(rf"[^\x00-\u{_SIMPLE_END - 1:04X}]").search
+            # Four ASCII separators are white space to str.split, but not to the pattern.
+            self._high = regex.compile(rf"[^\x00-\x1B\x20-\u{_SIMPLE_END - 1:04X}]").search
             # What the library makes of each simple character before its model sees it.
             simple = {c for code in range(_SIMPLE_END) for c in chr(code).lower()}
             shown = {ord(c): self._tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in simple}
             self._shown = {c: found[0][0] for c, found in shown.items() if found}
-        self._known: dict[str, bytes] = {}  # by what stands between white space
-        self._words: dict[str, bytes] = {}
-        self._known_odd: dict[str, bytes] = {}
+        self._words = _Remembered(self._word, _KNOWN_WORDS)
+        self._pieces = _Remembered(self._piece, _KNOWN_WORDS)
+        self._odd_pieces = _Remembered(self._whole, _KNOWN_WORDS // 16)
 
     def _odd(self, text: str) -> bool:
         return any(s in text for s in self._special) or self._high(text) is not None
@@ -279,21 +294,21 @@ class Encoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word not in self._words:
-            found = self._tokenizer.model.tokenize(word.translate(self._shown))
-            self._words[word] = array("I", [t.id for t in found]).tobytes()
-        return self._words[word]
+        found = self._tokenizer.model.tokenize(word.translate(self._shown))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what stands between white space, lower-cased."""
+        words = self._words
+        if piece.isalpha():
+            return words[piece]
+        stem, last = piece[:-1], piece[-1]
+        if stem.isalpha() and not last.isalnum():
+            return words[stem] + words[last]
+        return b"".join(map(words.__getitem__, self._split(piece)))
 
     def _simple(self, text: str) -> bytes:
-        for c in _BREAKS[1:]:
-            text = text.replace(c, " ")
-        pieces, known = text.lower().split(" "), self._known
-        for held in (known, self._words):
-            if len(held) > _KNOWN_WORDS:
-                held.clear()
-        for piece in set(pieces).difference(known):
-            known[piece] = b"".join(map(self._word, self._split(piece)))
-        return b"".join(map(known.__getitem__, pieces))
+        return b"".join(map(self._pieces.__getitem__, text.lower().split()))
 
     def parts(self, text: str) -> Iterator[np.ndarray]:
         if self._split is None:
@@ -303,18 +318,11 @@ class Encoder:
             if not self._odd(piece):
                 yield np.frombuffer(self._simple(piece), "<u4")
                 continue
-            if len(self._known_odd) > _KNOWN_WORDS // 16:
-                self._known_odd.clear()
             out = []
             for c in _BREAKS[1:]:
                 piece = piece.replace(c, " ")
             for word in piece.split(" "):
-                if not self._odd(word):
-                    out.append(self._simple(word))
-                else:
-                    if word not in self._known_odd:
-                        self._known_odd[word] = self._whole(word)
-                    out.append(self._known_odd[word])
+                out.append(self._odd_pieces[word] if self._odd(word) else self._simple(word))
             yield np.frombuffer(b"".join(out), "<u4")
 
 
