@@ -30,7 +30,7 @@ def _steady(node) -> bool:
     return not shuffles and all(_steady(children.apply(i)) for i in range(children.size()))
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """The frame itself if its rows come straight from files, else a written copy.
 
     After a shuffle a repeated task may see its rows in another order, so a row's
@@ -56,7 +56,7 @@ def ordered_positions(df: DataFrame, order_by: list[Column], name: str) -> DataF
     order = [*order_by, F.col(_TIE).asc()]
     path = scratch(spark, "positions")
     ranged = (
-        _stored(df)
+        stored(df)
         .withColumn(_TIE, F.monotonically_increasing_id())
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -90,9 +90,7 @@ def versioned_merge(spark, folder):
         F.when(F.col("Size") != 22, F.col("Price") + 1).cast("float").alias("Price"),
         "Size",
     )
-    path = scratch(spark, "changes")
-    change.write.parquet(path)
-    versioned.merge(spark.read.parquet(path), ["ProductID"], delete_when="t.Size >= 30")
+    versioned.merge(change, ["ProductID"], delete_when="t.Size >= 30")
     return _priced(versioned.read())
 
 

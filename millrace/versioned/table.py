@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.files import AlreadyThere, Files
+from millrace.operators.keys import stored
 from millrace.operators.quality import require_unique
 
 _APPENDING = ("create", "append")
@@ -256,9 +257,10 @@ class VersionedTable:
         (source); without it all columns of a matched row are taken from the
         source, NULLs included. Matched rows meeting ``delete_when`` go; source
         rows without a match are added. Without a row to change or add there is
-        no new version. The source is evaluated several times, so hand in a
-        stored one. A key repeated in the source is an error.
+        no new version. The source is evaluated once: one that does not come
+        straight from files is written first. A key repeated in it is an error.
         """
+        source = stored(source)
         base = self.latest()
         names = base.struct.names
         self._known(base, update or {})

@@ -62,8 +62,8 @@ def test_appended_members_continue_the_keys(spark, rows):
 def test_only_frames_straight_from_files_are_not_copied(spark, path):
     spark.range(20).withColumn("Exchange", F.lit(1)).write.parquet(path)
     files = spark.read.parquet(path)
-    assert keys._stored(files.where("Exchange = 1")).inputFiles() == files.inputFiles()
+    assert keys.stored(files.where("Exchange = 1")).inputFiles() == files.inputFiles()
     kept = files.where("id < 9").cache()
     for name, unsteady in {"shuffled": files.repartition(2), "cut": files.limit(5), "cached": kept}.items():
-        assert keys._stored(unsteady).inputFiles() != files.inputFiles(), name
+        assert keys.stored(unsteady).inputFiles() != files.inputFiles(), name
     kept.unpersist()

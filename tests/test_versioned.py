@@ -240,3 +240,12 @@ def test_commit_files_are_single_complete_lines(table, path):
         commit = json.loads(file.read())
     assert commit["version"] == 0 and commit["folders"] == commit["added"]
     assert all(name.endswith(".json") for name in os.listdir(f"{path}/commits") if not name.startswith("."))
+
+
+def test_a_merge_evaluates_its_source_once(spark, path, rows):
+    """A source that gives other rows each time is read once, so checks and changes agree."""
+    table = VersionedTable.create(spark.range(50).selectExpr("id", "id AS v"), path)
+    unsteady = spark.range(100).repartition(4).selectExpr("id", "cast(rand() * 1000000 AS bigint) + 1000 AS v")
+    table.merge(unsteady, ["id"])
+    once = rows(table.read())
+    assert len(once) == 100 and all(v >= 1000 for _, v in once) and rows(table.read()) == once
