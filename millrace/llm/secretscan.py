@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ KINDS = ("assign", "access", "hex")
 LEARNT = "format"
 
 # What may stand in a token; dots, dashes and the like at its ends belong to the sentence.
+TOKEN, SENTENCE = re.compile(r"[A-Za-z0-9+/_.=-]+"), ".-"
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=])?")
 # Examples a format is learnt from, per kind, and the characters of all of them: documented bounds.
 MAX_EXAMPLES, MAX_EXAMPLE_CHARS = 500, 100_000
@@ -59,6 +60,7 @@ _TO_SYMBOL = bytes(
     for b in range(256)
 )
 CASES = ("lower", "capital", "upper", "mixed")
+MIXED = 3
 # Tokens whose verdict a task remembers.
 _KNOWN_TOKENS = 1 << 19
 # Credentials of no known format: characters at random, and a length spread as a gamma
@@ -91,6 +93,15 @@ def candidates(text: str, known: list[tuple[int, int, int, str]]) -> list[tuple[
     return out
 
 
+def tokens_of(text: str, known: list[tuple[int, int, int, str]]) -> set[str]:
+    """The different candidates of a text; their places are only looked for where known spans may overlap them."""
+    if known:
+        return {token for _, _, token in candidates(text, known)}
+    found = {token.strip(SENTENCE) for token in set(TOKEN.findall(text))}
+    found.discard("")
+    return found
+
+
 class Automaton:
     """Probabilistic automaton over character classes, inferred by state merging."""
 
@@ -231,19 +242,30 @@ class Plain:
         chance = (counts + self.TRUST * double) / (counts.sum(axis=2, keepdims=True) + self.TRUST)
         chance = (1 - self.SURPRISE) * chance + self.SURPRISE / SYMBOLS
         chance[:, :, _TO_SYMBOL[ord("0")]] /= 10  # one symbol for ten digits
-        self._logs = np.log(chance).ravel().tolist()
+        self._logs = np.log(chance).ravel()
         share = (cases + 1.0) / (cases.sum() + len(CASES))
         self._cases = np.log(np.maximum(share, self.RAREST)).tolist()
 
-    def score(self, token: str) -> float:
-        """Log likelihood of a token."""
-        logs, at, case = self._logs, 0, case_of(token)
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        """Log likelihoods of tokens, none of them empty."""
+        at, own = triples_of(tokens)
+        values = np.where(own, self._logs[at], 0.0)
+        starts = np.cumsum([0, *[len(t) + 2 for t in tokens[:-1]]])
+        cases = np.array([case_of(t) for t in tokens])
         # In mixed tokens every letter's case is free.
-        total = self._cases[case] - (math.log(2) * sum(map(str.isalpha, token)) if case == 3 else 0.0)
-        for s in token.encode("ascii").translate(_TO_SYMBOL) + b"\0":
-            at = at * SYMBOLS % SYMBOLS**3 + s
-            total += logs[at]
-        return total
+        free = [sum(map(str.isalpha, t)) if c == MIXED else 0 for t, c in zip(tokens, cases.tolist(), strict=True)]
+        return np.add.reduceat(values, starts) + np.array(self._cases)[cases] - math.log(2) * np.array(free)
+
+
+def triples_of(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(places in a table of triples, which of them count) of tokens put one behind the other.
+
+    A token gives a triple per character and one for its end; what follows its end
+    before the next token does not count.
+    """
+    codes = ("\0\0" + "\0\0".join(tokens) + "\0\0").encode("ascii").translate(_TO_SYMBOL)
+    c = np.frombuffer(codes, np.uint8).astype(np.int64)
+    return (c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], (c[1:-1] > 0) | (c[2:] > 0)
 
 
 class Formats:
@@ -253,26 +275,41 @@ class Formats:
         self.kinds = [Automaton(examples[k]) for k in range(len(KINDS)) if examples.get(k)]
         self.plain = plain
         self._known: dict[str, bool] = {}
+        # No credential is likelier than this for each of its characters.
+        weights = [w for a in self.kinds for logs in a._logs for c, (w, _) in logs.items() if c]
+        self._most = max([-math.log(ANY_SIZE), *weights])
 
     def score(self, token: str) -> float:
         """By how much the likeliest credential format is likelier than an ordinary token."""
+        return self._format(token) - float(self.plain.scores([token])[0])
+
+    def _format(self, token: str) -> float:
+        """Log likelihood under the likeliest credential format."""
         # A format written in capitals is the same format.
         forms = {token, token.lower()} if token == token.upper() else {token}
         shown = [form.translate(_CLASSES) for form in forms]
         n = len(token)
         length = (ANY_SHAPE - 1) * math.log(n) - n / ANY_SCALE - math.lgamma(ANY_SHAPE) - ANY_SHAPE * math.log(ANY_SCALE)
         any_format = length - n * math.log(ANY_SIZE)
-        best = max([any_format, *[a.score(x) + a.length_score(x) for a in self.kinds for x in shown]])
-        return best - self.plain.score(token)
+        return max([any_format, *[a.score(x) + a.length_score(x) for a in self.kinds for x in shown]])
+
+    def judge(self, tokens: Iterable[str]) -> None:
+        """Work out the verdicts that are not known yet, all at once."""
+        fresh = [t for t in set(tokens) if t not in self._known]
+        if len(self._known) + len(fresh) > _KNOWN_TOKENS:
+            self._known.clear()
+        if not fresh or not self.kinds:
+            self._known.update(dict.fromkeys(fresh, False))
+            return
+        for token, plain in zip(fresh, self.plain.scores(fresh).tolist(), strict=True):
+            able = len(token) * self._most - plain > MARGIN
+            self._known[token] = able and self._format(token) - plain > MARGIN
 
     def is_secret(self, token: str) -> bool:
         """Whether a token is a credential; without any known credential none is."""
-        known = self._known.get(token)
-        if known is None:
-            if len(self._known) >= _KNOWN_TOKENS:
-                self._known.clear()
-            known = self._known[token] = bool(self.kinds) and self.score(token) > MARGIN
-        return known
+        if token not in self._known:
+            self.judge([token])
+        return self._known[token]
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_known": {}}
@@ -311,7 +348,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> Formats:
                 for *_, kind, value in known:
                     if value not in kept[kind]:
                         kept[kind][value] = xxhash.xxh64_intdigest(value) >> 1
-                tokens.update(token for _, _, token in candidates(text, known))
+                tokens |= tokens_of(text, known)
                 for k, values in enumerate(kept):
                     if len(values) > 4 * MAX_EXAMPLES:
                         kept[k] = smallest(values)
@@ -324,12 +361,11 @@ def learn(docs: DataFrame, text_col: str = "text") -> Formats:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         triples, cases = np.zeros(SYMBOLS**3, np.int64), np.zeros(len(CASES), np.int64)
         for batch in batches:
-            for token in batch.column(0).to_pylist():
-                at = 0
-                for s in token.encode("ascii").translate(_TO_SYMBOL) + b"\0":
-                    at = at * SYMBOLS % SYMBOLS**3 + s
-                    triples[at] += 1
-                cases[case_of(token)] += 1
+            tokens = batch.column(0).to_pylist()
+            if tokens:
+                at, own = triples_of(tokens)
+                triples += np.bincount(at[own], minlength=len(triples))
+                cases += np.bincount([case_of(t) for t in tokens], minlength=len(CASES))
         at = np.concatenate([np.nonzero(triples)[0], SYMBOLS**3 + np.nonzero(cases)[0]])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate([triples, cases])[at])], ["at", "n"])
 
@@ -359,6 +395,10 @@ def spans_of(text: str, formats: Formats) -> list[tuple[int, int, int]]:
     """(start, end, place of the kind) of all secrets of a text, in order; code points, end exclusive."""
     known = base_spans(text)
     found = [b[:3] for b in known]
+    tokens = tokens_of(text, known)
+    formats.judge(tokens)
+    if not any(map(formats.is_secret, tokens)):
+        return sorted(found, key=lambda x: (x[0], x[2], x[1]))
     found += [(c[0], c[1], len(KINDS)) for c in candidates(text, known) if formats.is_secret(c[2])]
     return sorted(found, key=lambda x: (x[0], x[2], x[1]))
 

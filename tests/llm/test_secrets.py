@@ -40,6 +40,14 @@ def test_known_kinds_equal_the_plain_patterns():
         assert [(i, j, k) for i, j, k, _ in secretscan.base_spans(text)] == plain_base(text), text
 
 
+def test_tokens_are_the_candidates():
+    rng = random.Random(8)
+    for _ in range(2000):
+        text = "".join(rng.choices(["a", "B9", ".", "-", "..", " ", "=", "é", "/", "token=abcdefg", "x.y", "\n"], k=rng.randrange(12)))
+        known = secretscan.base_spans(text)
+        assert secretscan.tokens_of(text, known) == {c[2] for c in secretscan.candidates(text, known)}
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
