@@ -62,7 +62,7 @@ _TO_SYMBOL = bytes(
 CASES = ("lower", "capital", "upper", "mixed")
 MIXED = 3
 # Tokens whose verdict a task remembers.
-_KNOWN_TOKENS = 1 << 19
+_KNOWN_TOKENS = 1 << 17
 # Credentials of no known format: characters at random, and a length spread as a gamma
 # distribution of this shape and scale (32 characters in the mean, hardly any below 8).
 ANY_SIZE, ANY_SHAPE, ANY_SCALE = 64, 4, 8
