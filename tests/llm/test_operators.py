@@ -277,6 +277,61 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
 
+def test_top_k_counts_every_row(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 6)).round(1)
+    rows = [(i, x[i]) for i in range(120)] + [(i, x[i]) for i in (0, 0, 50, 7, 7, 7, 7, 7, 7)]  # rows repeated
+    rows += [(50, x[9]), (50, x[9] + 1e-3), (8, -x[8]), (None, x[0]), (None, x[3])]  # ids that repeat or are missing
+    rows += [(150, []), (150, []), (151, []), (200, [1e16, 0.0, 1e-3]), (201, [2e17, 5.0, 0.0]), (202, [1e17, -1e17, 1e-3]), (250, [2e17, 2e17, 1.0])]
+    points = [(i, [math.floor(256 * c) for c in v]) for i, v in rows]
+    want = Counter()
+    for own, (q, v) in enumerate(points):
+        if q is None or q % 50:
+            continue
+        scored = [(sum(a * b for a, b in zip(v, w, strict=True)), i) for n, (i, w) in enumerate(points) if n != own and len(v) == len(w)]
+        scored = [(max(-(2**63) + 1, min(2**63 - 1, s)), i) for s, i in scored]
+        best = sorted(scored, key=lambda p: (-p[0], p[1] is None, p[1]))[:5]
+        want.update((q, n + 1, i, s) for n, (s, i) in enumerate(best))
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
+    for shard, block in ((8192, 4096), (30, 2)):
+        monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+        monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+        assert Counter(map(tuple, topk.top_k(table).collect())) == want
+
+
+def test_top_k_whatever_tasks_the_shards_go_to(spark, monkeypatch):
+    # Small partitions merge into one task; as many tasks as a large table has show what does not meet.
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 6)).round(1)
+    whole = np.floor(x * 256)
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for shard, block in ((8192, 4096), (40, 3)):
+            monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+            monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+            got = sorted(map(tuple, topk.top_k(table).collect()))
+            want = []
+            for q in range(0, 400, 50):
+                score = whole @ whole[q]
+                best = sorted((i for i in range(400) if i != q), key=lambda i: (-score[i], i))[:5]
+                want += [(q, n + 1, i, int(score[i])) for n, i in enumerate(best)]
+            assert got == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_top_k_bound_holds_where_large_products_cancel():
+    rng = np.random.default_rng(6)
+    sign = np.array([1.0, -1.0] * 32)
+    for _ in range(200):
+        q = sign * rng.integers(2**22, 2**23)
+        near, far = rng.integers(2**22, 2**23, size=2)
+        left = [near - step * sign for step in (0, *rng.integers(1, 4, size=2))]
+        right = [-far - step * sign for step in (0, 3, 0)]  # its best is as good, but later
+        assert topk.Balls(np.array(left + right), leaf=3).search(q, np.ones(6, int), 1, -math.inf) == [(0, 0)]
+
+
 def test_elias_fano():
     rng = np.random.default_rng(2)
     for n, universe in ((1, 1), (5, 5), (1000, 1500), (1000, 1 << 40), (3000, 40)):
